@@ -1,0 +1 @@
+"""Incremental reads. They are batch jobs; nothing here keeps a stream open."""

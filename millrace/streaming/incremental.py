@@ -1,0 +1,30 @@
+"""Only what changed since the last run."""
+
+from __future__ import annotations
+
+from collections.abc import Mapping
+from datetime import datetime
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from millrace.sources.jdbc import read_database
+
+
+def changed_since(df: DataFrame, modified: str, since: datetime) -> DataFrame:
+    """Rows modified after ``since``; sources that can will filter themselves."""
+    limit = F.lit(since.isoformat(sep=" ")).cast(df.schema[modified].dataType)
+    return df.where(F.col(modified) > limit)
+
+
+def incremental_extract(
+    spark: SparkSession,
+    url: str,
+    properties: Mapping[str, str],
+    table: str,
+    modified: str,
+    since: datetime,
+    **parallel,
+) -> DataFrame:
+    """Rows of a database table modified after ``since``."""
+    return changed_since(read_database(spark, url, properties, table, **parallel), modified, since)
