@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -48,18 +49,20 @@ def file_min_max(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFram
     return report.orderBy(*by, "min_value", "file_name")
 
 
-def _band(value: Column, edges: Sequence[Column], first: int = 0) -> Column:
-    """Number of edges at or below ``value``, by bisection."""
+def _band(column: str, edges: Sequence[str], first: int = 0) -> str:
+    """SQL for the number of edges at or below ``column``, by bisection."""
     if not edges:
-        return F.lit(first)
+        return str(first)
     mid = len(edges) // 2
-    return F.when(value < edges[mid], _band(value, edges[:mid], first)).otherwise(
-        _band(value, edges[mid + 1 :], first + mid + 1)
-    )
+    below = _band(column, edges[:mid], first)
+    above = _band(column, edges[mid + 1 :], first + mid + 1)
+    return f"CASE WHEN `{column}` < {edges[mid]} THEN {below} ELSE {above} END"
 
 
-def zorder_value(df: DataFrame, columns: Sequence[str], bits: int = ZORDER_BITS) -> Column:
-    """Interleaved bits of the quantile bands of ``columns``.
+def with_zorder(
+    df: DataFrame, columns: Sequence[str], name: str, bits: int = ZORDER_BITS
+) -> DataFrame:
+    """Add the interleaved bits of the quantile bands of ``columns``.
 
     One aggregation finds all band edges. Numbers, dates and timestamps work.
     """
@@ -67,15 +70,18 @@ def zorder_value(df: DataFrame, columns: Sequence[str], bits: int = ZORDER_BITS)
     steps = F.array(*[F.lit(i / count) for i in range(1, count)])
     quantiles = [F.percentile_approx(c, steps, count * 20).alias(c) for c in columns]
     found: dict[str, Any] = df.agg(*quantiles).first().asDict()
-    value = F.lit(0).cast("bigint")
-    for place, name in enumerate(columns):
-        kind = df.schema[name].dataType
-        edges = [F.lit(edge).cast(kind) for edge in found[name] or []]
-        band = _band(F.col(name), edges)
-        for bit in range(bits):
-            digit = F.shiftright(band, bit).bitwiseAND(1).cast("bigint")
-            value = value + F.shiftleft(digit, bit * len(columns) + place)
-    return value
+    bands = {}
+    for column in columns:
+        kind = df.schema[column].dataType.simpleString()
+        edges = [f"CAST('{edge}' AS {kind})" for edge in found[column] or []]
+        bands[f"_band_{column}"] = F.expr(_band(column, edges))
+    digits = [
+        F.expr(f"shiftleft(CAST(shiftright({band}, {bit}) & 1 AS BIGINT), {bit * len(columns) + i})")
+        for i, band in enumerate(bands)
+        for bit in range(bits)
+    ]
+    value = reduce(lambda a, b: a + b, digits)
+    return df.withColumns(bands).withColumn(name, value).drop(*bands)
 
 
 def zorder_rewrite(
@@ -95,9 +101,8 @@ def zorder_rewrite(
     ``df`` should come straight from files, where positions repeat on a retry.
     """
     rows = df if where is None else df.where(where)
-    ranked = rows.withColumns(
-        {"_z": zorder_value(rows, columns, bits), "_at": F.monotonically_increasing_id()}
-    )
+    placed = rows.withColumn("_at", F.monotonically_increasing_id())
+    ranked = with_zorder(placed, columns, "_z", bits)
     key = [*partition_by, "_z", *columns, "_at"]
     count = [files] if files else []
     clustered = ranked.repartitionByRange(*count, *key).sortWithinPartitions(*key)

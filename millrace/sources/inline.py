@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 def inline_rows(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType | str) -> DataFrame:
-    return spark.createDataFrame(list(rows), schema)
+    """A local table, which needs no Python worker and whose size the planner knows."""
+    declared = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    columns = {name: [row[i] for row in rows] for i, name in enumerate(declared.names)}
+    return spark.createDataFrame(pa.table(columns), declared)
 
 
 def steps_between(
