@@ -16,9 +16,10 @@ from pyspark.sql import types as T
 
 from millrace.operators.sizing import (
     BROADCAST_LIMIT_BYTES,
+    HotKeys,
     data_bytes,
     hot_keys,
-    key_hash,
+    parts_of_key,
 )
 
 SALTS = 32
@@ -58,34 +59,30 @@ def add_salt(
     df: DataFrame,
     keys: Sequence[str],
     salts: int = SALTS,
-    hot: Sequence[int] | None = None,
+    hot: HotKeys | None = None,
     row_key: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Deal the rows of hot keys (of all keys if ``hot`` is None) over salts.
+    """Deal the rows of each key over ``salts`` salts, or over its parts in ``hot``.
 
     Without ``row_key`` the row's position decides, which also spreads equal
     rows. Positions repeat on a retry only if the rows come straight from files;
     after a shuffle pass columns that are unique per row instead.
     """
     spread = F.xxhash64(*row_key) if row_key else F.monotonically_increasing_id()
-    salt = F.pmod(spread, F.lit(salts)).cast("int")
-    if hot is not None:
-        salt = F.when(key_hash(keys).isin(*hot), salt).otherwise(F.lit(0))
-    return df.withColumn(SALT, salt)
+    parts = F.lit(salts) if hot is None else parts_of_key(keys, hot)
+    return df.withColumn(SALT, F.pmod(spread, parts).cast("int"))
 
 
 def add_all_salts(
     df: DataFrame,
     keys: Sequence[str],
     salts: int = SALTS,
-    hot: Sequence[int] | None = None,
+    hot: HotKeys | None = None,
     name: str = SALT,
 ) -> DataFrame:
-    """Copy each row of a hot key (of any key if ``hot`` is None) once per salt."""
-    every = F.array(*[F.lit(i) for i in range(salts)])
-    if hot is not None:
-        every = F.when(key_hash(keys).isin(*hot), every).otherwise(F.array(F.lit(0)))
-    return df.withColumn(name, F.explode(every))
+    """Copy each row once per salt that ``add_salt`` can give its key."""
+    parts = F.lit(salts) if hot is None else parts_of_key(keys, hot)
+    return df.withColumn(name, F.explode(F.sequence(F.lit(0), parts - 1)))
 
 
 def salted_join(
@@ -96,7 +93,7 @@ def salted_join(
     how: str = "inner",
     *,
     salts: int = SALTS,
-    hot: Sequence[int] | None = None,
+    hot: HotKeys | None = None,
     row_key: Sequence[str] | None = None,
     residual: Column | None = None,
     null_safe: bool = False,
@@ -121,7 +118,7 @@ def keyed_join(
     right_on: Sequence[str],
     how: str = "inner",
     *,
-    hot: Sequence[int] | None = None,
+    hot: HotKeys | None = None,
     row_key: Sequence[str] | None = None,
     residual: Column | None = None,
     null_safe: bool = False,
@@ -195,7 +192,7 @@ def bucketed_pair(
     paths: tuple[str, str],
     buckets: int,
     *,
-    hot: Sequence[int] | None = None,
+    hot: HotKeys | None = None,
     row_key: Sequence[str] | None = None,
 ) -> None:
     """Write both tables bucketed alike, so that joining them needs no shuffle.

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.joins import SALT, add_salt
-from millrace.operators.sizing import hot_keys
+from millrace.operators.sizing import HotKeys, hot_keys
 
 ZORDER_BITS = 6
 
@@ -20,7 +20,7 @@ def spread_by_key(
     keys: Sequence[str],
     partitions: int | None = None,
     *,
-    hot: Sequence[int] | None = None,
+    hot: HotKeys | None = None,
     row_key: Sequence[str] | None = None,
 ) -> DataFrame:
     """Hash partitioning by key in which hot keys take several partitions."""
@@ -49,39 +49,42 @@ def file_min_max(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFram
     return report.orderBy(*by, "min_value", "file_name")
 
 
-def _band(column: str, edges: Sequence[str], first: int = 0) -> str:
-    """SQL for the number of edges at or below ``column``, by bisection."""
-    if not edges:
-        return str(first)
-    mid = len(edges) // 2
-    below = _band(column, edges[:mid], first)
-    above = _band(column, edges[mid + 1 :], first + mid + 1)
-    return f"CASE WHEN `{column}` < {edges[mid]} THEN {below} ELSE {above} END"
-
-
 def with_zorder(
     df: DataFrame, columns: Sequence[str], name: str, bits: int = ZORDER_BITS
 ) -> DataFrame:
     """Add the interleaved bits of the quantile bands of ``columns``.
 
     One aggregation finds all band edges. Numbers, dates and timestamps work.
+    A band is found by bisection, one bit per step; each step is a projection of
+    its own, which keeps the generated code short enough to be compiled.
     """
     count = 2**bits
     steps = F.array(*[F.lit(i / count) for i in range(1, count)])
     quantiles = [F.percentile_approx(c, steps, count * 20).alias(c) for c in columns]
     found: dict[str, Any] = df.agg(*quantiles).first().asDict()
-    bands = {}
+    edges = {}
     for column in columns:
         kind = df.schema[column].dataType.simpleString()
-        edges = [f"CAST('{edge}' AS {kind})" for edge in found[column] or []]
-        bands[f"_band_{column}"] = F.expr(_band(column, edges))
+        texts = [f"CAST('{edge}' AS {kind})" for edge in found[column] or []]
+        edges[column] = f"array({', '.join(texts)})"
+    bands = [f"_band_{column}" for column in columns]
+    ranked = df.withColumns({band: F.lit(0) for band in bands})
+    for bit in reversed(range(bits)):
+        half = 2**bit
+        ranked = ranked.withColumns(
+            {
+                band: F.expr(
+                    f"{band} + IF(`{column}` >= get({edges[column]}, {band} + {half - 1}), {half}, 0)"
+                )
+                for column, band in zip(columns, bands, strict=True)
+            }
+        )
     digits = [
         F.expr(f"shiftleft(CAST(shiftright({band}, {bit}) & 1 AS BIGINT), {bit * len(columns) + i})")
         for i, band in enumerate(bands)
         for bit in range(bits)
     ]
-    value = reduce(lambda a, b: a + b, digits)
-    return df.withColumns(bands).withColumn(name, value).drop(*bands)
+    return ranked.withColumn(name, reduce(lambda a, b: a + b, digits)).drop(*bands)
 
 
 def zorder_rewrite(

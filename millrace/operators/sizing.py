@@ -1,7 +1,7 @@
 """Measurements taken before a join or a layout is chosen.
 
 Both look at whole tables with map-side aggregation and bring one small row
-back: a byte count, or a list no longer than ``1 / share``.
+back: a byte count, or the hot keys, of which there are at most ``MOST_HOT``.
 """
 
 from __future__ import annotations
@@ -14,12 +14,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
-HOT_SHARE = 0.01
 HOT_ROWS = 50_000
-_SLOTS_PER_HOT_KEY = 100
+MOST_HOT = 2_000
+_SLOTS_PER_HOT_KEY = 16
 _VARIABLE_OVERHEAD = 16
 _FIXED_WIDTH = 8
 
+# Key hash -> number of parts the rows of that key should be split into.
+HotKeys = dict[int, int]
+
 
 def data_bytes(df: DataFrame) -> int:
     """Uncompressed size of all rows of ``df``."""
@@ -40,26 +43,39 @@ def key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(k) for k in keys])
 
 
-def hot_keys(
-    df: DataFrame,
-    keys: Sequence[str],
-    share: float = HOT_SHARE,
-    least: int = HOT_ROWS,
-) -> list[int]:
-    """Hashes of the key values that hold at least ``share`` of the rows.
+def hot_keys(df: DataFrame, keys: Sequence[str], least: int = HOT_ROWS) -> HotKeys:
+    """Keys with more rows than an even shuffle partition, and their parts.
+
+    The parts are such that each is about one partition's worth, rounded up to a
+    power of two. Keys with fewer than ``least`` rows are no burden for a task
+    and left out. Null keys count as one value.
 
-    Keys with fewer than ``least`` rows are no burden for a task and left out.
-    A frequent-items sketch keeps the state of every task and the answer
-    bounded however many distinct keys there are. Its counts are estimates, so
-    callers may only use the answer to place rows, never to select them.
-    Null keys count as one value.
+    A frequent-items sketch keeps the state of every task and the answer bounded
+    however many distinct keys there are. Its counts are estimates, so callers
+    may only use the answer to place rows, never to select them.
     """
-    most = math.ceil(1 / share)
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    most = min(partitions, MOST_HOT)
     sketch = F.expr(f"approx_top_k(key, {most}, {most * _SLOTS_PER_HOT_KEY})")
     row = (
         df.select(key_hash(keys).alias("key"))
         .agg(sketch.alias("top"), F.count(F.lit(1)).alias("rows"))
         .first()
     )
-    floor = max(row["rows"] * share, least)
-    return sorted(item["item"] for item in row["top"] or [] if item["count"] >= floor)
+    found = {}
+    for item in row["top"] or []:
+        partitions_filled = item["count"] * partitions / row["rows"]
+        if item["count"] >= least and partitions_filled > 1:
+            found[item["item"]] = 2 ** math.ceil(math.log2(partitions_filled))
+    return found
+
+
+def parts_of_key(keys: Sequence[str], hot: HotKeys) -> Column:
+    """Number of parts for the key of a row, 1 unless it is hot."""
+    by_parts: dict[int, list[int]] = {}
+    for item, parts in hot.items():
+        by_parts.setdefault(parts, []).append(item)
+    parts_column = F.lit(1)
+    for parts, items in sorted(by_parts.items()):
+        parts_column = F.when(key_hash(keys).isin(*items), parts).otherwise(parts_column)
+    return parts_column

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.joins import keyed_join
-from millrace.operators.sizing import hot_keys
+from millrace.operators.sizing import HotKeys, hot_keys
 
 
 def window_max(
@@ -17,7 +17,7 @@ def window_max(
     value: str,
     name: str,
     *,
-    hot: Sequence[int] | None = None,
+    hot: HotKeys | None = None,
     row_key: Sequence[str] | None = None,
 ) -> DataFrame:
     """Every row with the largest ``value`` of its group.

@@ -6,6 +6,7 @@ from rows import plan, same_rows
 
 from millrace.operators import joins, sizing
 from millrace.operators.windows import window_max
+from millrace.scratch import fresh_name
 
 
 @pytest.fixture(scope="module")
@@ -26,17 +27,17 @@ def plain(left, right, how, extra=None):
 
 
 def test_hot_keys_finds_value_and_null(skewed):
-    hot = sizing.hot_keys(skewed, ["k"], share=0.1, least=1)
+    hot = sizing.hot_keys(skewed, ["k"], least=1)
     hashes = skewed.where("k = 7 OR k IS NULL").select(sizing.key_hash(["k"])).distinct()
-    assert hot == sorted(r[0] for r in hashes.collect())
+    assert hot == {r[0]: 4 for r in hashes.collect()}  # a third of 8 partitions
 
 
 def test_hot_keys_ignores_small_groups(skewed):
-    assert sizing.hot_keys(skewed, ["k"]) == []
+    assert sizing.hot_keys(skewed, ["k"]) == {}
 
 
 def test_hot_keys_of_empty_table(skewed):
-    assert sizing.hot_keys(skewed.where("v < 0"), ["k"], least=1) == []
+    assert sizing.hot_keys(skewed.where("v < 0"), ["k"], least=1) == {}
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
@@ -93,17 +94,25 @@ def test_hash_join_falls_back(skewed, keys):
     assert "ShuffledHashJoin" not in plan(joins.hash_join(skewed, keys, ["k"], ["rk"], limit=10))
 
 
+def test_parts_follow_the_share(spark):
+    df = spark.range(800).select(F.when(F.col("id") < 700, 1).otherwise(F.col("id") % 2).alias("k"))
+    parts = sizing.hot_keys(df, ["k"], least=1)
+    assert list(parts.values()) == [8]
+    copies = joins.add_all_salts(df.select("k").distinct(), ["k"], hot=parts).groupBy("k").count()
+    assert {r["k"]: r["count"] for r in copies.collect()} == {0: 1, 1: 8}
+
+
 def test_data_bytes(spark):
     df = spark.createDataFrame([("abc", 1), (None, 2)], "s string, n bigint")
     assert sizing.data_bytes(df) == 2 * (16 + 16) + 3
     assert sizing.data_bytes(df.where("n > 5")) == 0
 
 
-@pytest.mark.parametrize("hot_share", [None, 0.1])
-def test_bucketed_join_does_not_shuffle(spark, tmp_path, skewed, keys, hot_share):
-    hot = sizing.hot_keys(skewed, ["k"], hot_share, least=1) if hot_share else []
-    names = (f"left_{tmp_path.name}".replace("-", "_"), f"right_{tmp_path.name}".replace("-", "_"))
-    names = tuple(n.replace("[", "_").replace("]", "_").replace(".", "_") for n in names)
+@pytest.mark.parametrize("least", [1, 1_000_000])
+def test_bucketed_join_does_not_shuffle(spark, tmp_path, skewed, keys, least):
+    hot = sizing.hot_keys(skewed, ["k"], least)
+    assert bool(hot) == (least == 1)
+    names = (fresh_name("left_side"), fresh_name("right_side"))
     paths = (str(tmp_path / "l"), str(tmp_path / "r"))
     joins.bucketed_pair(skewed, keys, ["k"], ["rk"], names, paths, 4, hot=hot)
     joined = joins.bucketed_join(spark, names, ["k"], ["rk"])
