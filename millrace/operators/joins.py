@@ -155,9 +155,18 @@ def broadcast_join(
     return keyed_join(left, right, left_on, right_on, how, row_key=row_key)
 
 
-def merge_join(left, right, left_on, right_on, how="inner", *, row_key=None) -> DataFrame:
+def merge_join(
+    left: DataFrame,
+    right: DataFrame,
+    left_on: Sequence[str],
+    right_on: Sequence[str],
+    how: str = "inner",
+    *,
+    hot: HotKeys | None = None,
+    row_key: Sequence[str] | None = None,
+) -> DataFrame:
     """Sort-merge join of two large tables."""
-    return keyed_join(left, right, left_on, right_on, how, row_key=row_key, hint="merge")
+    return keyed_join(left, right, left_on, right_on, how, hot=hot, row_key=row_key, hint="merge")
 
 
 def hash_join(

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from rows import plan, same_rows
 
 from millrace.operators import joins, sizing
+from millrace.operators.layout import partition_report
 from millrace.operators.windows import window_max
 from millrace.scratch import fresh_name
 
@@ -75,6 +76,24 @@ def test_keyed_join_plans(spark, skewed, keys):
     assert "_salt" in plan(salted)
 
 
+def test_hot_key_is_spread_over_tasks(spark):
+    """A third of the rows has one key; no task may get much more than its share."""
+    left = spark.range(48_000).select(
+        F.when(F.col("id") < 16_000, 1).otherwise(F.col("id")).alias("k"), F.lit("x").alias("v")
+    )
+    right = spark.range(48_000).select(F.col("id").alias("rk"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = {}
+        for name, hot in (("plain", {}), ("salted", sizing.hot_keys(left, ["k"], least=1))):
+            joined = joins.merge_join(left, right, ["k"], ["rk"], hot=hot)
+            sizes[name] = max(r["n_rows"] for r in partition_report(joined).collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sizes["plain"] > 16_000
+    assert sizes["salted"] < 13_000
+
+
 def test_broadcast_only_below_limit(skewed, keys):
     small = joins.broadcast_join(skewed, keys, ["k"], ["rk"], "left")
     assert "BroadcastHashJoin" in plan(small)
