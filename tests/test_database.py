@@ -82,9 +82,17 @@ def test_text_widths(spark):
 
 
 def test_repeated_inserts_are_noticed(spark, small, database, monkeypatch):
-    monkeypatch.setattr(sink, "_stored_rows", lambda *a: 7)
-    with pytest.raises(RuntimeError, match="sent 5 rows, stored 7"):
-        sink.write_database(table(spark, small, "region"), *database, fresh_name("twice"))
+    region, name = table(spark, small, "region"), fresh_name("twice")
+    counts = iter([10, 5])
+    monkeypatch.setattr(sink, "_stored_rows", lambda *a: next(counts))
+    assert sink.write_database(region, *database, name) == 5  # the second attempt
+    assert read_database(spark, *database, name).count() == 5
+    counts = iter([5, 15])
+    with pytest.raises(RuntimeError, match="sent 5 rows, stored 10"):
+        sink.write_database(region, *database, name, if_exists="append")
+    counts = iter([6] * sink.ATTEMPTS)
+    with pytest.raises(RuntimeError, match="sent 5 rows, stored 6"):
+        sink.write_database(region, *database, fresh_name("thrice"))
 
 
 def test_extract_then_restore(spark, folder, database, stored, tmp_path):
