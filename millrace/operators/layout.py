@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.operators.joins import SALT, add_salt
-from millrace.operators.sizing import HotKeys, hot_keys
+from millrace.operators.sizing import HotKeys, hot_keys, quantiles
 
 ZORDER_BITS = 6
 
@@ -49,34 +49,44 @@ def file_min_max(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFram
     return report.orderBy(*by, "min_value", "file_name")
 
 
+def _as_double(df: DataFrame, column: str) -> Column:
+    kind, value = df.schema[column].dataType, F.col(column)
+    if isinstance(kind, T.DateType):
+        return F.unix_date(value).cast("double")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(value.cast("timestamp")).cast("double")
+    if isinstance(kind, T.NumericType):
+        return value.cast("double")
+    raise ValueError(f"cannot cluster by {column} of type {kind.simpleString()}")
+
+
 def with_zorder(
     df: DataFrame, columns: Sequence[str], name: str, bits: int = ZORDER_BITS
 ) -> DataFrame:
     """Add the interleaved bits of the quantile bands of ``columns``.
 
-    One aggregation finds all band edges. Numbers, dates and timestamps work.
-    A band is found by bisection, one bit per step; each step is a projection of
-    its own, which keeps the generated code short enough to be compiled.
+    Numbers, dates and timestamps work. A band is found by bisection, one bit
+    per step; each step is a projection of its own, which keeps the generated
+    code short enough to be compiled.
     """
-    count = 2**bits
-    steps = F.array(*[F.lit(i / count) for i in range(1, count)])
-    quantiles = [F.percentile_approx(c, steps, count * 20).alias(c) for c in columns]
-    found: dict[str, Any] = df.agg(*quantiles).first().asDict()
-    edges = {}
-    for column in columns:
-        kind = df.schema[column].dataType.simpleString()
-        texts = [f"CAST('{edge}' AS {kind})" for edge in found[column] or []]
-        edges[column] = f"array({', '.join(texts)})"
+    numbers = [f"_number_{column}" for column in columns]
     bands = [f"_band_{column}" for column in columns]
-    ranked = df.withColumns({band: F.lit(0) for band in bands})
+    ranked = df.withColumns(
+        {n: _as_double(df, c) for n, c in zip(numbers, columns, strict=True)}
+    )
+    edges = {
+        number: f"array({', '.join(f'{edge!r}D' for edge in found)})"
+        for number, found in quantiles(ranked, numbers, 2**bits).items()
+    }
+    ranked = ranked.withColumns({band: F.lit(0) for band in bands})
     for bit in reversed(range(bits)):
         half = 2**bit
         ranked = ranked.withColumns(
             {
                 band: F.expr(
-                    f"{band} + IF(`{column}` >= get({edges[column]}, {band} + {half - 1}), {half}, 0)"
+                    f"{band} + IF({number} >= get({edges[number]}, {band} + {half - 1}), {half}, 0)"
                 )
-                for column, band in zip(columns, bands, strict=True)
+                for number, band in zip(numbers, bands, strict=True)
             }
         )
     digits = [
@@ -84,7 +94,8 @@ def with_zorder(
         for i, band in enumerate(bands)
         for bit in range(bits)
     ]
-    return ranked.withColumn(name, reduce(lambda a, b: a + b, digits)).drop(*bands)
+    value = reduce(lambda a, b: a + b, digits)
+    return ranked.withColumn(name, value).drop(*numbers, *bands)
 
 
 def zorder_rewrite(

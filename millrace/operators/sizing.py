@@ -1,7 +1,8 @@
 """Measurements taken before a join or a layout is chosen.
 
-Both look at whole tables with map-side aggregation and bring one small row
-back: a byte count, or the hot keys, of which there are at most ``MOST_HOT``.
+Each looks at the whole table with map-side aggregation and brings one small
+row back: a byte count, quantiles, or at most ``MOST_HOT`` hot keys. Sketches are
+merged in two steps, since one task could not take in those of all others.
 """
 
 from __future__ import annotations
@@ -9,14 +10,16 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
 HOT_ROWS = 50_000
-MOST_HOT = 2_000
-_SLOTS_PER_HOT_KEY = 16
+MOST_HOT = 1_000
+_SLOTS_PER_HOT_KEY = 8
+_QUANTILE_DETAIL = 800
+_MOST_MERGERS = 1_000
 _VARIABLE_OVERHEAD = 16
 _FIXED_WIDTH = 8
 
@@ -43,6 +46,17 @@ def key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(k) for k in keys])
 
 
+def _shuffle_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _by_merger(df: DataFrame) -> GroupedData:
+    """Groups of whole partitions, few enough for one task to merge their results."""
+    mergers = min(_shuffle_partitions(df), _MOST_MERGERS)
+    placed = df.withColumn("_merger", F.pmod(F.spark_partition_id(), F.lit(mergers)))
+    return placed.groupBy("_merger")
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str], least: int = HOT_ROWS) -> HotKeys:
     """Keys with more rows than an even shuffle partition, and their parts.
 
@@ -54,22 +68,42 @@ def hot_keys(df: DataFrame, keys: Sequence[str], least: int = HOT_ROWS) -> HotKe
     however many distinct keys there are. Its counts are estimates, so callers
     may only use the answer to place rows, never to select them.
     """
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partitions = _shuffle_partitions(df)
     most = min(partitions, MOST_HOT)
-    sketch = F.expr(f"approx_top_k(key, {most}, {most * _SLOTS_PER_HOT_KEY})")
-    row = (
-        df.select(key_hash(keys).alias("key"))
-        .agg(sketch.alias("top"), F.count(F.lit(1)).alias("rows"))
-        .first()
+    slots = most * _SLOTS_PER_HOT_KEY
+    sketches = _by_merger(df.select(key_hash(keys).alias("key"))).agg(
+        F.expr(f"approx_top_k_accumulate(key, {slots})").alias("sketch"),
+        F.count(F.lit(1)).alias("rows"),
     )
-    found = {}
-    for item in row["top"] or []:
+    # Combining fails where a task has no sketch at all, so it works on a group.
+    whole = sketches.groupBy(F.lit(0).alias("_all")).agg(
+        F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {slots}), {most})").alias("top"),
+        F.sum("rows").alias("rows"),
+    )
+    row = whole.first()
+    found: HotKeys = {}
+    for item in row["top"] if row else []:
         partitions_filled = item["count"] * partitions / row["rows"]
         if item["count"] >= least and partitions_filled > 1:
             found[item["item"]] = 2 ** math.ceil(math.log2(partitions_filled))
     return found
 
 
+def quantiles(df: DataFrame, columns: Sequence[str], parts: int) -> dict[str, list[float]]:
+    """The inner ``parts - 1`` quantiles of number columns; none if all are null."""
+    sketches = _by_merger(df.select(*columns)).agg(
+        *[F.kll_sketch_agg_double(c, _QUANTILE_DETAIL).alias(c) for c in columns]
+    )
+    ranks = F.array(*[F.lit(i / parts) for i in range(1, parts)])
+    whole = sketches.agg(*[F.kll_merge_agg_double(c).alias(c) for c in columns])
+    filled = [
+        F.when(F.kll_sketch_get_n_double(c) > 0, F.kll_sketch_get_quantile_double(c, ranks)).alias(c)
+        for c in columns
+    ]
+    row = whole.select(*filled).first()
+    return {c: row[c] or [] for c in columns}
+
+
 def parts_of_key(keys: Sequence[str], hot: HotKeys) -> Column:
     """Number of parts for the key of a row, 1 unless it is hot."""
     by_parts: dict[int, list[int]] = {}

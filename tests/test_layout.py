@@ -2,12 +2,13 @@
 
 import weakref
 
+import pytest
 from pyspark import StorageLevel
 from pyspark.sql import functions as F
 from rows import plan, same_rows
 
 from millrace.operators import aggregates, caching, layout
-from millrace.operators.sizing import hot_keys
+from millrace.operators.sizing import hot_keys, quantiles
 from millrace.operators.windows import nth_in_group
 from millrace.sources.files import table
 
@@ -56,6 +57,21 @@ def test_zorder_of_dates_and_nulls(spark, tmp_path):
     same_rows(spark.read.parquet(str(tmp_path / "z")), df)
 
 
+def test_zorder_of_nulls_only_and_of_text(spark, tmp_path):
+    df = spark.range(10).select(F.lit(None).cast("double").alias("a"), F.lit("x").alias("b"))
+    layout.zorder_rewrite(df, ["a"], str(tmp_path / "z"))
+    same_rows(spark.read.parquet(str(tmp_path / "z")), df)
+    with pytest.raises(ValueError, match="cluster by b"):
+        layout.with_zorder(df, ["b"], "z")
+
+
+def test_quantiles_over_many_partitions(spark):
+    df = spark.range(0, 10_000, 1, 40).select(F.col("id").cast("double").alias("x"))
+    found = quantiles(df, ["x"], 4)["x"]
+    assert all(abs(got - want) < 200 for got, want in zip(found, (2500, 5000, 7500), strict=True))
+    assert quantiles(df.where("x < 0"), ["x"], 4) == {"x": []}
+
+
 def test_spread_by_key(spark):
     df = spark.range(20_000).select(F.when(F.col("id") < 15_000, 1).otherwise(F.col("id")).alias("k"))
     hot = hot_keys(df, ["k"], least=1)
