@@ -65,10 +65,11 @@ def add_salt(
     """Deal the rows of each key over ``salts`` salts, or over its parts in ``hot``.
 
     Without ``row_key`` the row's position decides, which also spreads equal
-    rows. Positions repeat on a retry only if the rows come straight from files;
+    rows; hashed, so that it does not keep step with a pattern in the keys.
+    Positions repeat on a retry only if the rows come straight from files;
     after a shuffle pass columns that are unique per row instead.
     """
-    spread = F.xxhash64(*row_key) if row_key else F.monotonically_increasing_id()
+    spread = F.xxhash64(*(row_key or [F.monotonically_increasing_id()]))
     parts = F.lit(salts) if hot is None else parts_of_key(keys, hot)
     return df.withColumn(SALT, F.pmod(spread, parts).cast("int"))
 
@@ -97,15 +98,17 @@ def salted_join(
     row_key: Sequence[str] | None = None,
     residual: Column | None = None,
     null_safe: bool = False,
-    hint: str | None = None,
+    hint: str = "merge",
 ) -> DataFrame:
-    """Join on (key, salt); both sides use one salt range, so no match is lost."""
+    """Shuffle join on (key, salt); both sides use one salt range, so no match is lost.
+
+    The hint keeps Spark from broadcasting the copies, whose number it does not
+    foresee.
+    """
     _check(left, right, left_on, right_on, how)
     copies = "_salt_right"
     salted = add_salt(left, left_on, salts, hot, row_key)
-    copied = add_all_salts(right, right_on, salts, hot, copies)
-    if hint:
-        copied = copied.hint(hint)
+    copied = add_all_salts(right, right_on, salts, hot, copies).hint(hint)
     matched = _condition(left_on, right_on, residual, null_safe)
     joined = salted.join(copied, (F.col(SALT) == F.col(copies)) & matched, how)
     return joined.drop(SALT, copies)
@@ -124,14 +127,20 @@ def keyed_join(
     null_safe: bool = False,
     hint: str | None = None,
 ) -> DataFrame:
-    """Shuffle join that salts only hot keys: those given, or found on the left."""
+    """Join that salts only hot keys: those given, or found on the left.
+
+    ``left`` is read once more to find them. If there are any, a ``right`` small
+    enough is broadcast instead, unless a hint asks for a shuffle.
+    """
     _check(left, right, left_on, right_on, how)
     if hot is None:
         hot = hot_keys(left, left_on)
-    if hot:
+    if hot and not hint and data_bytes(right) <= BROADCAST_LIMIT_BYTES:
+        hint = "broadcast"
+    elif hot:
         return salted_join(
             left, right, left_on, right_on, how,
-            hot=hot, row_key=row_key, residual=residual, null_safe=null_safe, hint=hint,
+            hot=hot, row_key=row_key, residual=residual, null_safe=null_safe, hint=hint or "merge",
         )
     if hint:
         right = right.hint(hint)

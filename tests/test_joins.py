@@ -65,7 +65,17 @@ def test_salts_spread_even_equal_rows(spark):
     rows = spark.range(1000).select(F.lit(1).alias("k"))
     sizes = joins.add_salt(rows, ["k"], salts=4).groupBy(joins.SALT).count().collect()
     assert sorted(r["_salt"] for r in sizes) == [0, 1, 2, 3]
-    assert max(r["count"] for r in sizes) <= 260
+    assert max(r["count"] for r in sizes) <= 320
+
+
+def test_salts_do_not_follow_a_pattern_in_the_keys(spark):
+    """Hot rows at every fourth position still meet all four salts."""
+    rows = spark.range(0, 4000, 1, 2).select(F.when(F.col("id") % 4 == 0, 1).otherwise(0).alias("k"))
+    hot = {rows.where("k = 1").select(sizing.key_hash(["k"])).first()[0]: 4}
+    salted = joins.add_salt(rows, ["k"], hot=hot)
+    sizes = {r[joins.SALT]: r["count"] for r in salted.where("k = 1").groupBy(joins.SALT).count().collect()}
+    assert sorted(sizes) == [0, 1, 2, 3] and max(sizes.values()) < 320
+    assert salted.where(f"k = 0 AND {joins.SALT} <> 0").count() == 0
 
 
 def test_keyed_join_plans(spark, skewed, keys):
@@ -74,6 +84,9 @@ def test_keyed_join_plans(spark, skewed, keys):
     salted = joins.keyed_join(skewed, keys, ["k"], ["rk"], hint="merge", hot=hot)
     assert "SortMergeJoin" in plan(salted)
     assert "_salt" in plan(salted)
+    small = joins.keyed_join(skewed, keys, ["k"], ["rk"], hot=hot)
+    assert "BroadcastHashJoin" in plan(small) and "_salt" not in plan(small)
+    same_rows(small, salted)
 
 
 def test_hot_key_is_spread_over_tasks(spark):

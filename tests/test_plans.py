@@ -17,6 +17,7 @@ QUERIES = entry_point.queries()
         ("join_broadcast", "BroadcastHashJoin"),
         ("join_broadcast_sql", "BroadcastHashJoin"),
         ("join_merge", "SortMergeJoin"),
+        ("join_salted", "SortMergeJoin"),
         ("join_shuffle_hash", "ShuffledHashJoin"),
         ("cached_reuse", "InMemoryTableScan"),
         ("top_k", "TakeOrderedAndProject"),
