@@ -57,12 +57,12 @@ def _by_merger(df: DataFrame) -> GroupedData:
     return placed.groupBy("_merger")
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], least: int = HOT_ROWS) -> HotKeys:
+def hot_keys(df: DataFrame, keys: Sequence[str], least: int | None = None) -> HotKeys:
     """Keys with more rows than an even shuffle partition, and their parts.
 
     The parts are such that each is about one partition's worth, rounded up to a
-    power of two. Keys with fewer than ``least`` rows are no burden for a task
-    and left out. Null keys count as one value.
+    power of two. Keys with fewer than ``least`` rows (``HOT_ROWS`` unless given)
+    are no burden for a task and left out. Null keys count as one value.
 
     A frequent-items sketch keeps the state of every task and the answer bounded
     however many distinct keys there are. Its counts are estimates, so callers
@@ -81,6 +81,7 @@ def hot_keys(df: DataFrame, keys: Sequence[str], least: int = HOT_ROWS) -> HotKe
         F.sum("rows").alias("rows"),
     )
     row = whole.first()
+    least = HOT_ROWS if least is None else least
     found: HotKeys = {}
     for item in row["top"] if row else []:
         partitions_filled = item["count"] * partitions / row["rows"]
