@@ -10,7 +10,7 @@ from millrace.operators import layout, udfs
 from millrace.operators.caching import cached, release_with
 from millrace.operators.relations import sql_over
 from millrace.plans.registry import query
-from millrace.scratch import fresh_path
+from millrace.scratch import fresh_name, fresh_path
 from millrace.sources.files import table
 
 ZORDER_COLUMNS = ("l_shipdate", "l_partkey")
@@ -90,10 +90,11 @@ def udf_scalar(spark: SparkSession, folder: str) -> DataFrame:
 @query(_BONUS_SQL)
 def udf_sql(spark: SparkSession, folder: str) -> DataFrame:
     udfs.register_bonus(spark, "bonus_of")
+    view = fresh_name("lines")
     return sql_over(
         spark,
-        "SELECT *, bonus_of(l_extendedprice) AS bonus FROM bonus_lines",
-        bonus_lines=_priced_lines(spark, folder),
+        f"SELECT *, bonus_of(l_extendedprice) AS bonus FROM {view}",
+        **{view: _priced_lines(spark, folder)},
     )
 
 

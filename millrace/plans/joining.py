@@ -169,13 +169,13 @@ def join_broadcast(spark: SparkSession, folder: str) -> DataFrame:
 def join_broadcast_sql(spark: SparkSession, folder: str) -> DataFrame:
     nation = table(spark, folder, "nation")
     hint = "/*+ BROADCAST(n) */" if data_bytes(nation) <= BROADCAST_LIMIT_BYTES else ""
+    customers, nations = fresh_name("customer"), fresh_name("nation")
     return sql_over(
         spark,
         f"""SELECT {hint} c.*, n.n_name
-            FROM hinted_customers c LEFT OUTER JOIN hinted_nations n
+            FROM {customers} c LEFT OUTER JOIN {nations} n
             ON c.c_nationkey = n.n_nationkey""",
-        hinted_customers=table(spark, folder, "customer"),
-        hinted_nations=nation,
+        **{customers: table(spark, folder, "customer"), nations: nation},
     )
 
 
