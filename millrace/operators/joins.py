@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from millrace.operators.sizing import (
     BROADCAST_LIMIT_BYTES,
     HotKeys,
-    data_bytes,
+    fits_in,
     hot_keys,
     parts_of_key,
 )
@@ -98,17 +98,19 @@ def salted_join(
     row_key: Sequence[str] | None = None,
     residual: Column | None = None,
     null_safe: bool = False,
-    hint: str = "merge",
+    hint: str | None = "merge",
 ) -> DataFrame:
     """Shuffle join on (key, salt); both sides use one salt range, so no match is lost.
 
     The hint keeps Spark from broadcasting the copies, whose number it does not
-    foresee.
+    foresee. It can go where ``right`` comes out of a shuffle, whose size it sees.
     """
     _check(left, right, left_on, right_on, how)
     copies = "_salt_right"
     salted = add_salt(left, left_on, salts, hot, row_key)
-    copied = add_all_salts(right, right_on, salts, hot, copies).hint(hint)
+    copied = add_all_salts(right, right_on, salts, hot, copies)
+    if hint:
+        copied = copied.hint(hint)
     matched = _condition(left_on, right_on, residual, null_safe)
     joined = salted.join(copied, (F.col(SALT) == F.col(copies)) & matched, how)
     return joined.drop(SALT, copies)
@@ -121,23 +123,26 @@ def keyed_join(
     right_on: Sequence[str],
     how: str = "inner",
     *,
+    limit: int | None = None,
     hot: HotKeys | None = None,
     row_key: Sequence[str] | None = None,
     residual: Column | None = None,
     null_safe: bool = False,
     hint: str | None = None,
 ) -> DataFrame:
-    """Join that salts only hot keys: those given, or found on the left.
+    """Broadcast a small ``right``, else shuffle with the hot keys of ``left`` salted.
 
-    ``left`` is read once more to find them. If there are any, a ``right`` small
-    enough is broadcast instead, unless a hint asks for a shuffle.
+    Small means at most ``limit`` bytes as measured (``BROADCAST_LIMIT_BYTES``
+    unless given). Hot keys not given are found by reading ``left`` once more.
+    A hint asks for a certain shuffle join, so nothing is broadcast then.
     """
     _check(left, right, left_on, right_on, how)
-    if hot is None:
+    limit = BROADCAST_LIMIT_BYTES if limit is None else limit
+    if hint is None and fits_in(right, limit):
+        hint, hot = "broadcast", {}
+    elif hot is None:
         hot = hot_keys(left, left_on)
-    if hot and not hint and data_bytes(right) <= BROADCAST_LIMIT_BYTES:
-        hint = "broadcast"
-    elif hot:
+    if hot:
         return salted_join(
             left, right, left_on, right_on, how,
             hot=hot, row_key=row_key, residual=residual, null_safe=null_safe, hint=hint or "merge",
@@ -147,23 +152,6 @@ def keyed_join(
     return left.join(right, _condition(left_on, right_on, residual, null_safe), how)
 
 
-def broadcast_join(
-    left: DataFrame,
-    right: DataFrame,
-    left_on: Sequence[str],
-    right_on: Sequence[str],
-    how: str = "inner",
-    *,
-    limit: int = BROADCAST_LIMIT_BYTES,
-    row_key: Sequence[str] | None = None,
-) -> DataFrame:
-    """Broadcast ``right`` if its measured size allows, else shuffle both sides."""
-    _check(left, right, left_on, right_on, how)
-    if data_bytes(right) <= limit:
-        return left.join(F.broadcast(right), _condition(left_on, right_on, None, False), how)
-    return keyed_join(left, right, left_on, right_on, how, row_key=row_key)
-
-
 def merge_join(
     left: DataFrame,
     right: DataFrame,
@@ -190,14 +178,13 @@ def hash_join(
 ) -> DataFrame:
     """Shuffle-hash join, if each partition of ``right`` fits in a hash table.
 
-    The limit holds for the even share of one shuffle partition. A larger table
-    must have no hot key either, since no partitioning could divide that one.
+    The limit holds for the even share of one shuffle partition. A right table
+    with a hot key is not joined so, since no partitioning could divide that key.
     """
     _check(left, right, left_on, right_on, how)
     partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    size = data_bytes(right)
-    fits = size <= limit or (size <= limit * partitions and not hot_keys(right, right_on))
-    hint = "shuffle_hash" if fits else None
+    fits = fits_in(right, limit * partitions) and not hot_keys(right, right_on)
+    hint = "shuffle_hash" if fits else "merge"
     return keyed_join(left, right, left_on, right_on, how, row_key=row_key, hint=hint)
 
 

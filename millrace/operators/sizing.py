@@ -42,6 +42,17 @@ def data_bytes(df: DataFrame) -> int:
     return df.agg(F.sum(width).alias("bytes")).first()["bytes"] or 0
 
 
+def fits_in(df: DataFrame, limit: int) -> bool:
+    """Whether all rows of ``df`` take at most ``limit`` bytes.
+
+    Counting rows is cheap (Parquet footers suffice if nothing is filtered) and
+    settles the matter for large tables, so only small ones are measured.
+    """
+    if df.count() * _FIXED_WIDTH * len(df.columns) > limit:
+        return False
+    return data_bytes(df) <= limit
+
+
 def key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(k) for k in keys])
 

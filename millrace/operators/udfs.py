@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from millrace.operators.joins import broadcast_join
+from millrace.operators.joins import keyed_join
 
 BONUS_RATE = 0.1
 
@@ -35,5 +35,5 @@ def lookup(
     row_key: list[str] | None = None,
 ) -> DataFrame:
     """Add the columns of a dimension; unknown keys get nulls."""
-    joined = broadcast_join(df, dimension, [key], [dimension_key], "left", row_key=row_key)
+    joined = keyed_join(df, dimension, [key], [dimension_key], "left", row_key=row_key)
     return joined.drop(dimension_key)

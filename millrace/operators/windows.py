@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.operators.joins import keyed_join
+from millrace.operators.joins import salted_join
 from millrace.operators.sizing import HotKeys, hot_keys
 
 
@@ -32,9 +32,9 @@ def window_max(
         return df.withColumn(name, F.max(value).over(falling))
     group = [f"_group_{i}" for i in range(len(partition_by))]
     maxima = df.groupBy(*[F.col(k).alias(g) for k, g in zip(partition_by, group, strict=True)])
-    joined = keyed_join(
+    joined = salted_join(
         df, maxima.agg(F.max(value).alias(name)), partition_by, group, "left",
-        hot=hot, row_key=row_key, null_safe=True,
+        hot=hot, row_key=row_key, null_safe=True, hint=None,
     )
     return joined.drop(*group)
 

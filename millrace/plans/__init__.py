@@ -2,7 +2,17 @@
 
 from importlib import import_module
 
-MODULES = ("projecting", "nesting", "reading", "writing", "joining", "summarizing", "ordering", "arranging", "database")
+MODULES = (
+    "projecting",
+    "nesting",
+    "reading",
+    "writing",
+    "joining",
+    "summarizing",
+    "ordering",
+    "arranging",
+    "database",
+)
 
 
 def load_all() -> None:

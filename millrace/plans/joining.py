@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from millrace.functions.exact import exact_sum, money
 from millrace.operators.joins import (
     add_all_salts,
-    broadcast_join,
     bucketed_join as join_buckets,
     bucketed_pair,
     hash_join,
@@ -17,7 +16,7 @@ from millrace.operators.joins import (
     salted_join,
 )
 from millrace.operators.relations import sql_over
-from millrace.operators.sizing import BROADCAST_LIMIT_BYTES, data_bytes
+from millrace.operators.sizing import BROADCAST_LIMIT_BYTES, fits_in
 from millrace.operators.udfs import lookup
 from millrace.plans.projecting import with_status
 from millrace.plans.registry import query
@@ -48,7 +47,7 @@ def revenue_by_nation(spark: SparkSession, folder: str) -> DataFrame:
         .agg(F.sum("spent").alias("spent"), F.sum("n").alias("n_orders"))
     )
     nation = table(spark, folder, "nation").select("n_nationkey", "n_name")
-    named = broadcast_join(per_nation, nation, ["c_nationkey"], ["n_nationkey"])
+    named = keyed_join(per_nation, nation, ["c_nationkey"], ["n_nationkey"])
     return named.select("n_name", F.col("spent").cast("double").alias("revenue"), "n_orders")
 
 
@@ -162,13 +161,13 @@ def join_cross(spark: SparkSession, folder: str) -> DataFrame:
 def join_broadcast(spark: SparkSession, folder: str) -> DataFrame:
     lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey")
     supplier = table(spark, folder, "supplier").select("s_suppkey", "s_name")
-    return broadcast_join(lines, supplier, ["l_suppkey"], ["s_suppkey"], "left")
+    return keyed_join(lines, supplier, ["l_suppkey"], ["s_suppkey"], "left")
 
 
 @query("SELECT c.*, n_name FROM customer c LEFT JOIN nation ON c_nationkey = n_nationkey")
 def join_broadcast_sql(spark: SparkSession, folder: str) -> DataFrame:
     nation = table(spark, folder, "nation")
-    hint = "/*+ BROADCAST(n) */" if data_bytes(nation) <= BROADCAST_LIMIT_BYTES else ""
+    hint = "/*+ BROADCAST(n) */" if fits_in(nation, BROADCAST_LIMIT_BYTES) else ""
     customers, nations = fresh_name("customer"), fresh_name("nation")
     return sql_over(
         spark,

@@ -86,6 +86,8 @@ def test_keyed_join_plans(spark, skewed, keys):
     assert "_salt" in plan(salted)
     small = joins.keyed_join(skewed, keys, ["k"], ["rk"], hot=hot)
     assert "BroadcastHashJoin" in plan(small) and "_salt" not in plan(small)
+    large = joins.keyed_join(skewed, keys, ["k"], ["rk"], hot=hot, limit=10)
+    assert "SortMergeJoin" in plan(large) and "_salt" in plan(large)
     same_rows(small, salted)
 
 
@@ -108,13 +110,13 @@ def test_hot_key_is_spread_over_tasks(spark):
 
 
 def test_broadcast_only_below_limit(skewed, keys):
-    small = joins.broadcast_join(skewed, keys, ["k"], ["rk"], "left")
+    small = joins.keyed_join(skewed, keys, ["k"], ["rk"], "left")
     assert "BroadcastHashJoin" in plan(small)
     spark = skewed.sparkSession
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        large = joins.broadcast_join(skewed, keys, ["k"], ["rk"], "left", limit=10)
+        large = joins.keyed_join(skewed, keys, ["k"], ["rk"], "left", limit=10)
         assert "BroadcastHashJoin" not in plan(large)
         same_rows(large, small)
     finally:
@@ -138,6 +140,7 @@ def test_data_bytes(spark):
     df = spark.createDataFrame([("abc", 1), (None, 2)], "s string, n bigint")
     assert sizing.data_bytes(df) == 2 * (16 + 16) + 3
     assert sizing.data_bytes(df.where("n > 5")) == 0
+    assert sizing.fits_in(df, 67) and not sizing.fits_in(df, 66) and not sizing.fits_in(df, 31)
 
 
 @pytest.mark.parametrize("least", [1, 1_000_000])
