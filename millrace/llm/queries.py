@@ -8,6 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm.decontamination import contaminated_passages
+from millrace.llm.extraction import main_text
+from millrace.llm.jaccard import similar_groups
 from millrace.llm.packing import pack_documents
 from millrace.llm.quality import quality_rules
 from millrace.llm.secrets import find_secrets
@@ -26,6 +28,11 @@ def register(function: Callable[[SparkSession, str], DataFrame]):
     return function
 
 
+@register
+def op1_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return main_text(table(spark, folder, "pages"))
+
+
 @register
 def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(table(spark, folder, "documents"), vocabulary=WORD_VOCABULARY)
@@ -36,6 +43,11 @@ def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return feistel_shards(table(spark, folder, "documents"))
 
 
+@register
+def op4_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return similar_groups(table(spark, folder, "documents"))
+
+
 @register
 def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules(
