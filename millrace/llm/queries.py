@@ -7,9 +7,11 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.llm.chunks import repeated_passages
 from millrace.llm.decontamination import contaminated_passages
 from millrace.llm.extraction import main_text
 from millrace.llm.jaccard import similar_groups
+from millrace.llm.language import identify_language
 from millrace.llm.packing import pack_documents
 from millrace.llm.quality import quality_rules
 from millrace.llm.secrets import find_secrets
@@ -55,6 +57,16 @@ def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@register
+def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return identify_language(table(spark, folder, "documents"), vocabulary=PIECE_VOCABULARY)
+
+
+@register
+def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return repeated_passages(table(spark, folder, "documents"))
+
+
 @register
 def op8_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     return find_secrets(table(spark, folder, "documents"), keep=["doc_id"])
