@@ -38,7 +38,7 @@ LONGEST_TRAINING_TEXT = 20_000
 BUCKETS = 1 << 12
 SURE = 0.95
 PASSES = 8
-#: A label must come from a skip edge or be this sure by itself.
+#: Tokens are alike if so many of their last digits are equal.
 LEAST_DIGITS = 7
 
 Span = tuple[int, int, int]  # kind, start, end
@@ -82,7 +82,8 @@ def base_spans(text: str) -> list[Span]:
         return []
     found = _emails(text)
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+        parts = [p.lstrip("0") or "0" for p in m[0].split(".")]
+        if all(len(p) <= 3 and int(p) <= 255 for p in parts):
             found.append((1, m.start(), m.end()))
     for m in _CARD.finditer(text):
         digits = "".join(_DIGIT.findall(m[0])) if m.end() - m.start() <= 60 else ""
@@ -99,9 +100,9 @@ def listed(spans: Sequence[Span]) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for k, s, e in spans)
 
 
-#: A run of digits with marks inside, or anything with an at sign.
+#: Digits with further groups of up to four behind marks, or anything with an at sign.
 _TOKEN = re.compile(
-    r"[^\s@]+@[^\s@]+|\+?\(?[0-9](?:[\x20().-]{0,2}[0-9]){0,40}", re.ASCII
+    r"(?<![^\s@])[^\s@]+@[^\s@]+|\+?\(?[0-9]+(?:[).-]{0,2}\x20?\(?[0-9]{1,4}(?![0-9]))*", re.ASCII
 )
 
 
@@ -210,7 +211,7 @@ def train(texts: Sequence[str]) -> Field | None:
     """Unary weights by regression on base labels, pair potentials from counted labels."""
     rows, labels = [], []
     chain = np.ones((NONE + 1, NONE + 1))
-    skip = np.ones((NONE + 1, NONE + 1))
+    skip = np.full((NONE + 1, NONE + 1), 0.05)  # what repeats a token is taken to agree
     for text in texts:
         tokens = Tokens(text, base_spans(text))
         if not tokens.all:

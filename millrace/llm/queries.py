@@ -13,6 +13,7 @@ from millrace.llm.extraction import main_text
 from millrace.llm.jaccard import similar_groups
 from millrace.llm.language import identify_language
 from millrace.llm.packing import pack_documents
+from millrace.llm.personal import find_personal_data
 from millrace.llm.quality import quality_rules
 from millrace.llm.secrets import find_secrets
 from millrace.llm.sharding import feistel_shards
@@ -72,6 +73,11 @@ def op8_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     return find_secrets(table(spark, folder, "documents"), keep=["doc_id"])
 
 
+@register
+def op9_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return find_personal_data(table(spark, folder, "documents"), keep=["doc_id"])
+
+
 @register
 def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return contaminated_passages(
