@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.batches import append_columns, importable, map_blocks
+from millrace.llm.batches import importable, map_blocks
 from millrace.llm.components import connected_components
 from millrace.llm.words import Words, mix, window_hashes
 from millrace.scratch import fresh_path
@@ -296,7 +296,9 @@ def _open_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 )
 
 
-_WHOLE = T.StructType([T.StructField("class", T.LongType()), T.StructField("set", T.BinaryType())])
+_WHOLE = T.StructType(
+    [T.StructField("class", T.LongType()), T.StructField("set", T.ArrayType(T.LongType()))]
+)
 
 
 def _whole_sets(marked):
@@ -313,7 +315,7 @@ def _whole_sets(marked):
                 if len(found) and bits[slot >> 3] >> (slot & 7) & 1 and number not in seen:
                     seen.add(number)
                     classes.append(number)
-                    sets.append(found.tobytes())
+                    sets.append(found.view(np.int64))
             return (classes, sets) if classes else None
 
         return compute
@@ -334,23 +336,6 @@ def _marked(pairs: DataFrame) -> np.ndarray:
     return np.packbits(bits, bitorder="little")
 
 
-def overlap(one: bytes, other: bytes) -> int:
-    both = np.concatenate([np.frombuffer(one, _U64), np.frombuffer(other, _U64)])
-    both.sort()
-    return int((both[1:] == both[:-1]).sum())
-
-
-_COMPARED = T.StructType([T.StructField(n, T.LongType()) for n in ("n_a", "n_b", "n_both")])
-
-
-def _compare(ones, others) -> tuple:
-    return (
-        [len(x) // 8 for x in ones],
-        [len(x) // 8 for x in others],
-        [overlap(x, y) for x, y in zip(ones, others, strict=True)],
-    )
-
-
 def _verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     """``pairs`` with both set sizes and the overlap, written to the scratch folder."""
     spark = texts.sparkSession
@@ -362,7 +347,13 @@ def _verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     joined = pairs.join(one.hint("merge"), F.col("a") == F.col("_a")).join(
         other.hint("merge"), F.col("b") == F.col("_b")
     )
-    compared = append_columns(joined, ["set_a", "set_b"], _compare, _COMPARED, ["a", "b"])
+    compared = joined.select(
+        "a",
+        "b",
+        F.size("set_a").cast("bigint").alias("n_a"),
+        F.size("set_b").cast("bigint").alias("n_b"),
+        F.size(F.array_intersect("set_a", "set_b")).cast("bigint").alias("n_both"),
+    )
     path = fresh_path(spark, "compared")
     compared.write.parquet(path)
     return spark.read.parquet(path)
