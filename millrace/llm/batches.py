@@ -6,15 +6,18 @@ Batches are cut so that the text worked on at once stays near ``BLOCK_BYTES``
 
 from __future__ import annotations
 
+import gc
 import os
 from collections.abc import Callable, Iterator, Sequence
 from itertools import pairwise
 from pathlib import Path
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BLOCK_BYTES = 1_000_000
@@ -38,6 +41,27 @@ def arrow_types(fields: T.StructType) -> list[pa.DataType]:
 _ROOT = str(Path(__file__).resolve().parents[2])
 
 
+_remembered: dict[str, Any] = {}
+
+
+def remembered(name: str, make: Callable[[], Any]) -> Any:
+    """What ``make`` gives, kept by this worker process for the next tasks.
+
+    One thing is kept at a time, and a task that asks for none lets go of it, so
+    a worker that serves several operators in turn does not hold all their caches.
+    """
+    if name not in _remembered:
+        _remembered.clear()
+        _remembered[name] = make()
+    return _remembered[name]
+
+
+def _forget(but: str | None) -> None:
+    if _remembered and but not in _remembered:
+        _remembered.clear()
+        gc.collect()
+
+
 def importable(df: DataFrame) -> None:
     """Lets Python workers on this machine import this package from where it lies.
 
@@ -72,11 +96,13 @@ def append_columns(
     compute: Callable[..., Sequence],
     fields: T.StructType,
     keep: Sequence[str] | None = None,
+    remembers: str | None = None,
 ) -> DataFrame:
     """``df`` (or its columns ``keep``) with columns computed from ``inputs``.
 
     ``compute`` takes one list per input, texts first, and returns one sequence
     per field. A column of ``df`` that has the name of a new one is replaced.
+    ``remembers`` names what the function keeps by ``remembered``.
     """
     new = {f.name.lower() for f in fields}
     kept = [c for c in (df.columns if keep is None else keep) if c.lower() not in new]
@@ -87,6 +113,7 @@ def append_columns(
     at = [needed.index(c) for c in inputs]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _forget(remembers)
         for batch in batches:
             for block in blocks(batch, at[0]):
                 made = compute(*[block.column(i).to_pylist() for i in at])
@@ -103,6 +130,7 @@ def map_blocks(
     start: Callable[[], Callable[..., Sequence | None]],
     fields: T.StructType,
     end: bool = False,
+    remembers: str | None = None,
 ) -> DataFrame:
     """Rows that a function makes of each block of the columns of ``df``, texts first.
 
@@ -117,6 +145,7 @@ def map_blocks(
         return pa.RecordBatch.from_arrays(arrays, names=fields.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _forget(remembers)
         compute = start()
         for batch in batches:
             for block in blocks(batch, 0):
@@ -130,3 +159,12 @@ def map_blocks(
 
     importable(df)
     return df.mapInArrow(run, fields)
+
+
+def smallest(df: DataFrame, number: str, count: int) -> DataFrame:
+    """``count`` rows of ``df`` with the smallest numbers, for a bounded sample.
+
+    Tasks send numbers only; the rows are fetched once the bound is known.
+    """
+    bound = df.select(number).orderBy(number).limit(count).agg(F.max(number)).first()[0]
+    return df.where(F.col(number) <= F.lit(bound)).limit(count)

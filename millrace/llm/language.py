@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.batches import append_columns
+from millrace.llm.batches import append_columns, remembered
 from millrace.llm.vocabulary import Remembered
 
 TRAINING_TEXTS = 300
@@ -140,43 +140,28 @@ def learn(counts: dict[str, dict[str, int]], pieces: Pieces) -> tuple[list[str],
     return languages, np.stack(columns, axis=1)
 
 
-_loaded: dict[str, Pieces] = {}
-
-
-def _pieces(path: str) -> Pieces:
-    if path not in _loaded:
-        _loaded[path] = Pieces(path)
-    return _loaded[path]
-
-
-_scorers: dict[str, Remembered] = {}
-
-
-def _scorer(model, path: str) -> Remembered:
+def _scorer(weight: np.ndarray, path: str) -> Remembered:
     """Per word, its log-likelihoods in all languages as 32-bit floats."""
-    _, weight, name = model.value
-    if name not in _scorers:
-        pieces = _pieces(path)
+    pieces = Pieces(path)
 
-        def make(words: list[bytes]) -> list[bytes]:
-            parts = [stretches(w.decode("utf-8", "replace")) for w in words]
-            lengths = np.fromiter(map(len, parts), np.int64, len(parts))
-            lattice = Lattices([p for part in parts for p in part], pieces)
-            each = lattice.log_likelihood(weight)
-            firsts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-            return [row.tobytes() for row in np.add.reduceat(each, firsts, axis=0).astype("<f4")]
+    def make(words: list[bytes]) -> list[bytes]:
+        parts = [stretches(w.decode("utf-8", "replace")) for w in words]
+        lengths = np.fromiter(map(len, parts), np.int64, len(parts))
+        lattice = Lattices([p for part in parts for p in part], pieces)
+        each = lattice.log_likelihood(weight)
+        firsts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+        return [row.tobytes() for row in np.add.reduceat(each, firsts, axis=0).astype("<f4")]
 
-        _scorers.clear()  # one model at a time, so that memory stays bounded
-        _scorers[name] = Remembered(make)
-    return _scorers[name]
+    return Remembered(make)
 
 
 _FIELDS = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
 
-def _predict(model, path: str):
+def _predict(model, name: str, path: str):
     def compute(texts: Sequence[str | None]) -> tuple:
-        languages = model.value[0]
+        languages, weight = model.value
+        scorer = remembered(name, lambda: _scorer(weight, path))
         lettered = [t is not None and any(map(str.isalpha, t)) for t in texts]
         if not languages:
             return [UNKNOWN] * len(texts), [0.0] * len(texts)
@@ -185,7 +170,7 @@ def _predict(model, path: str):
             for t, ok in zip(texts, lettered, strict=True)
         ]
         names, scores = [], []
-        for packed, ok in zip(_scorer(model, path).of(words), lettered, strict=True):
+        for packed, ok in zip(scorer.of(words), lettered, strict=True):
             if not ok:
                 names.append(UNKNOWN)
                 scores.append(0.0)
@@ -240,15 +225,17 @@ def identify_language(
     columns are not looked at.
     """
     model = learn_from(training_words(df, doc_id, text, language), vocabulary)
-    shared = df.sparkSession.sparkContext.broadcast((*model, uuid.uuid4().hex))
+    shared, name = df.sparkSession.sparkContext.broadcast(model), f"language {uuid.uuid4().hex}"
     rows = df.select(
         F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"), held_out(doc_id).alias("held_out")
     )
-    return append_columns(rows, ["text"], _predict(shared, vocabulary), _FIELDS, ["doc_id", "held_out"])
+    return append_columns(
+        rows, ["text"], _predict(shared, name, vocabulary), _FIELDS, ["doc_id", "held_out"], remembers=name
+    )
 
 
 def learn_from(counts: dict[str, dict[str, int]], vocabulary: str) -> tuple[list[str], np.ndarray]:
-    pieces = _pieces(vocabulary)
+    pieces = Pieces(vocabulary)
     if not counts:
         return [], np.zeros((pieces.size, 0))
     return learn(counts, pieces)

@@ -138,7 +138,7 @@ def token_pieces(df: DataFrame, doc_id: str, text: str, vocabulary: str, window:
         return compute
 
     columns = [F.col(f"`{text}`").alias("text"), F.col(f"`{doc_id}`").cast("bigint").alias("doc_id")]
-    return map_blocks(df.select(*columns), start, PIECES)
+    return map_blocks(df.select(*columns), start, PIECES, remembers=vocabulary)
 
 
 def _looked_up(moves: Mapping[int, np.ndarray], out: T.StructType):

@@ -96,7 +96,8 @@ def quality_measures(
 ) -> DataFrame:
     """``df`` with the columns of ``FIELDS`` added, from whole texts."""
     byte_ids = byte_range(vocabulary)
-    return append_columns(df, [text], lambda t: measure(t, vocabulary, byte_ids), FIELDS, keep)
+    compute = lambda texts: measure(texts, vocabulary, byte_ids)
+    return append_columns(df, [text], compute, FIELDS, keep, remembers=vocabulary)
 
 
 _BANDED = ("chars_per_token", "token_entropy")

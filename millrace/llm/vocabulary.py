@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Sequence
 
 import numpy as np
 
+from millrace.llm.batches import remembered
+
 #: Words remembered at most by one worker process, which bounds its memory.
 REMEMBERED = 600_000
 _LONGEST_REMEMBERED = 64
@@ -44,24 +47,23 @@ class Remembered:
         return joined
 
 
-_loaded: dict[str, Remembered] = {}
-
-
 def piece_ids(path: str) -> Remembered:
     """Per word, little-endian 16-bit ids of a sentencepiece model with a word start."""
-    if path not in _loaded:
-        import sentencepiece
+    return remembered(path, lambda: _load_pieces(path))
+
 
-        model = sentencepiece.SentencePieceProcessor(model_file=path)
-        if model.vocab_size() > 1 << 16:
-            raise ValueError(f"{path} has more pieces than 16 bits can number")
+def _load_pieces(path: str) -> Remembered:
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    if model.vocab_size() > 1 << 16:
+        raise ValueError(f"{path} has more pieces than 16 bits can number")
 
-        def make(words: list[bytes]) -> list[bytes]:
-            made = model.encode([w.decode("utf-8", "replace") for w in words], num_threads=1)
-            return _packed(made, "<u2")
+    def make(words: list[bytes]) -> list[bytes]:
+        made = model.encode([w.decode("utf-8", "replace") for w in words], num_threads=1)
+        return _packed(made, "<u2")
 
-        _loaded[path] = Remembered(make)
-    return _loaded[path]
+    return Remembered(make)
 
 
 def _packed(ids: Sequence[Sequence[int]], kind: str) -> list[bytes]:
@@ -100,26 +102,26 @@ def word_ids(path: str) -> Remembered:
     and part letters from punctuation; then a word's ids are those of its stem and
     those of the punctuation behind it. Special tokens' strings are ordinary text.
     """
-    if path not in _loaded:
-        import os
+    return remembered(path, lambda: _load_words(path))
+
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks fill the cores
-        from tokenizers import Tokenizer
+def _load_words(path: str) -> Remembered:
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks fill the cores
+    from tokenizers import Tokenizer
 
-        model = Tokenizer.from_file(path)
-        model.encode_special_tokens = True
+    model = Tokenizer.from_file(path)
+    model.encode_special_tokens = True
 
-        def encode(words: list[bytes]) -> list[bytes]:
-            texts = [w.decode("utf-8", "replace") for w in words]
-            made = model.encode_batch_fast(texts, add_special_tokens=False)
-            return _packed([e.ids for e in made], "<u4")
+    def encode(words: list[bytes]) -> list[bytes]:
+        texts = [w.decode("utf-8", "replace") for w in words]
+        made = model.encode_batch_fast(texts, add_special_tokens=False)
+        return _packed([e.ids for e in made], "<u4")
 
-        stems = Remembered(encode)
+    stems = Remembered(encode)
 
-        def make(words: list[bytes]) -> list[bytes]:
-            cut = [_stem(w) for w in words]
-            parts = [[c, w[len(c) :]] if len(c) < len(w) else [c] for c, w in zip(cut, words, strict=True)]
-            return stems.of(parts)
+    def make(words: list[bytes]) -> list[bytes]:
+        cut = [_stem(w) for w in words]
+        parts = [[c, w[len(c) :]] if len(c) < len(w) else [c] for c, w in zip(cut, words, strict=True)]
+        return stems.of(parts)
 
-        _loaded[path] = Remembered(make)
-    return _loaded[path]
+    return Remembered(make)
