@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.batches import append_columns
+from millrace.llm.batches import append_columns, smallest
 
 KINDS = ("email", "ip", "card", "phone")
 NONE = len(KINDS)
@@ -304,14 +304,12 @@ def find_personal_data(
     ``df`` with names of new ones are replaced. The field is trained on at most
     ``TRAINING_TEXTS`` texts that hold a digit or an at sign, chosen by hash.
     """
-    sample = (
+    placed = (
         df.select(F.col(f"`{text}`").alias("text"), F.xxhash64(f"`{doc_id}`", f"`{text}`").alias("_place"))
         .where(F.char_length("text") <= LONGEST_TRAINING_TEXT)
         .where(F.col("text").rlike("[0-9@]"))
-        .orderBy("_place")
-        .limit(TRAINING_TEXTS)
-        .select("text")
     )
+    sample = smallest(placed, "_place", TRAINING_TEXTS).select("text")
     field = train([r["text"] for r in sample.toLocalIterator()])
     shared = df.sparkSession.sparkContext.broadcast(field)
     return append_columns(df, [text], _find(shared), _FIELDS, keep)
