@@ -7,6 +7,7 @@ Result columns are those of ``left`` followed by those of ``right``.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -17,13 +18,14 @@ from pyspark.sql import types as T
 from millrace.operators.sizing import (
     BROADCAST_LIMIT_BYTES,
     HotKeys,
-    fits_in,
     hot_keys,
-    parts_of_key,
+    measure,
+    with_parts,
 )
 
 SALTS = 32
 SALT = "_salt"
+_PARTS = "_salt_parts"
 _JOIN_TYPES = ("inner", "left")
 
 
@@ -55,6 +57,16 @@ def _condition(
     return reduce(lambda x, y: x & y, pairs)
 
 
+def check_repeatable(df: DataFrame, row_key: Sequence[str] | None) -> None:
+    """Refuse to salt by row position what comes out of a shuffle.
+
+    There a retry may give the same rows other positions, and so lose or double
+    some; ``row_key`` names columns that are unique per row instead.
+    """
+    if not row_key and re.search(r"(?<!Broadcast)Exchange", df._jdf.queryExecution().toString()):
+        raise ValueError("rows come out of a shuffle: name unique columns with row_key")
+
+
 def add_salt(
     df: DataFrame,
     keys: Sequence[str],
@@ -67,11 +79,14 @@ def add_salt(
     Without ``row_key`` the row's position decides, which also spreads equal
     rows; hashed, so that it does not keep step with a pattern in the keys.
     Positions repeat on a retry only if the rows come straight from files;
-    after a shuffle pass columns that are unique per row instead.
+    rows out of a shuffle need columns that are unique per row.
     """
+    check_repeatable(df, row_key)
     spread = F.xxhash64(*(row_key or [F.monotonically_increasing_id()]))
-    parts = F.lit(salts) if hot is None else parts_of_key(keys, hot)
-    return df.withColumn(SALT, F.pmod(spread, parts).cast("int"))
+    if hot is None:
+        return df.withColumn(SALT, F.pmod(spread, F.lit(salts)).cast("int"))
+    parted = with_parts(df, keys, hot, _PARTS)
+    return parted.withColumn(SALT, F.pmod(spread, F.col(_PARTS)).cast("int")).drop(_PARTS)
 
 
 def add_all_salts(
@@ -82,8 +97,10 @@ def add_all_salts(
     name: str = SALT,
 ) -> DataFrame:
     """Copy each row once per salt that ``add_salt`` can give its key."""
-    parts = F.lit(salts) if hot is None else parts_of_key(keys, hot)
-    return df.withColumn(name, F.explode(F.sequence(F.lit(0), parts - 1)))
+    if hot is None:
+        return df.withColumn(name, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    parted = with_parts(df, keys, hot, _PARTS)
+    return parted.withColumn(name, F.explode(F.sequence(F.lit(0), F.col(_PARTS) - 1))).drop(_PARTS)
 
 
 def salted_join(
@@ -133,14 +150,16 @@ def keyed_join(
     """Broadcast a small ``right``, else shuffle with the hot keys of ``left`` salted.
 
     Small means at most ``limit`` bytes as measured (``BROADCAST_LIMIT_BYTES``
-    unless given). Hot keys not given are found by reading ``left`` once more.
-    A hint asks for a certain shuffle join, so nothing is broadcast then.
+    unless given). Hot keys not given are found by reading ``left`` once more;
+    each side is measured in one pass at most. A hint asks for a certain shuffle
+    join, so nothing is broadcast then.
     """
     _check(left, right, left_on, right_on, how)
     limit = BROADCAST_LIMIT_BYTES if limit is None else limit
-    if hint is None and fits_in(right, limit):
+    if hint is None and measure(right).bytes <= limit:
         hint, hot = "broadcast", {}
     elif hot is None:
+        check_repeatable(left, row_key)
         hot = hot_keys(left, left_on)
     if hot:
         return salted_join(
@@ -183,8 +202,8 @@ def hash_join(
     """
     _check(left, right, left_on, right_on, how)
     partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    fits = fits_in(right, limit * partitions) and not hot_keys(right, right_on)
-    hint = "shuffle_hash" if fits else "merge"
+    found = measure(right, right_on)
+    hint = "shuffle_hash" if found.bytes <= limit * partitions and not found.hot else "merge"
     return keyed_join(left, right, left_on, right_on, how, row_key=row_key, hint=hint)
 
 
@@ -207,6 +226,7 @@ def bucketed_pair(
     """
     _check(left, right, left_on, right_on, "left")
     if hot is None:
+        check_repeatable(left, row_key)
         hot = hot_keys(left, left_on)
     sides = (
         (add_salt(left, left_on, hot=hot, row_key=row_key), left_on),

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.operators.joins import salted_join
+from millrace.operators.joins import check_repeatable, keyed_join
 from millrace.operators.sizing import HotKeys, hot_keys
 
 
@@ -22,19 +22,17 @@ def window_max(
 ) -> DataFrame:
     """Every row with the largest ``value`` of its group.
 
-    A running maximum in descending order is the group's maximum on each row.
-    Where a group is hot, the maxima are aggregated map-side and joined back.
+    The maxima are aggregated map-side and joined back, so that no group has to
+    meet in one task; rows of hot groups are salted for that join.
     """
     if hot is None:
+        check_repeatable(df, row_key)
         hot = hot_keys(df, partition_by)
-    if not hot:
-        falling = Window.partitionBy(*partition_by).orderBy(F.col(value).desc())
-        return df.withColumn(name, F.max(value).over(falling))
     group = [f"_group_{i}" for i in range(len(partition_by))]
     maxima = df.groupBy(*[F.col(k).alias(g) for k, g in zip(partition_by, group, strict=True)])
-    joined = salted_join(
+    joined = keyed_join(
         df, maxima.agg(F.max(value).alias(name)), partition_by, group, "left",
-        hot=hot, row_key=row_key, null_safe=True, hint=None,
+        hot=hot, row_key=row_key, null_safe=True, hint="merge",
     )
     return joined.drop(*group)
 

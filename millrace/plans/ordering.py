@@ -10,17 +10,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.windows import nth_in_group, window_max as max_over_group
+from millrace.plans.joining import skewed_events
 from millrace.plans.registry import query
 from millrace.sources.files import table
 
 
 @query(
-    """SELECT o_orderkey, o_custkey, o_totalprice,
-              MAX(o_totalprice) OVER (PARTITION BY o_custkey) AS max_price FROM orders"""
+    """SELECT event_id, value, kind, MAX(value) OVER (PARTITION BY kind) AS max_value
+       FROM (SELECT event_id, value, CASE WHEN event_type = 'click' THEN 'click'
+                                          ELSE 'other' END AS kind FROM events)"""
 )
 def window_max(spark: SparkSession, folder: str) -> DataFrame:
-    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    return max_over_group(orders, ["o_custkey"], "o_totalprice", "max_price")
+    """Over groups of which one has most of the rows."""
+    events, _ = skewed_events(spark, folder)
+    return max_over_group(events, ["kind"], "value", "max_value", row_key=["event_id"])
 
 
 @query(

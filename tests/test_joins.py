@@ -1,6 +1,7 @@
 """Salting, broadcasting and bucketing must not change what a join returns."""
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from rows import plan, same_rows
 
@@ -28,23 +29,69 @@ def plain(left, right, how, extra=None):
 
 
 def test_hot_keys_finds_value_and_null(skewed):
-    hot = sizing.hot_keys(skewed, ["k"], least=1)
+    hot = sizing.hot_keys(skewed, ["k"])
     hashes = skewed.where("k = 7 OR k IS NULL").select(sizing.key_hash(["k"])).distinct()
     assert hot == {r[0]: 4 for r in hashes.collect()}  # a third of 8 partitions
 
 
-def test_hot_keys_ignores_small_groups(skewed):
-    assert sizing.hot_keys(skewed, ["k"]) == {}
+def test_even_keys_are_not_hot(spark):
+    assert sizing.hot_keys(spark.range(1000), ["id"]) == {}
+
+
+@pytest.fixture
+def many_partitions(spark):
+    spark.conf.set("spark.sql.shuffle.partitions", "6000")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "8")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+
+
+def test_all_of_two_thousand_hot_keys_are_found(spark, many_partitions):
+    """Each is three times an even partition; together they have all rows."""
+    rows = spark.range(0, 120_000, 1, 8).select((F.col("id") % 2000).alias("k"))
+    hot = sizing.hot_keys(rows, ["k"])
+    assert len(hot) == 2000 and set(hot.values()) <= {4, 8}
+
+
+def test_hot_keys_are_shared_out_to_several_sketches(spark, monkeypatch):
+    monkeypatch.setattr(sizing, "_HOT_PER_SKETCH", 3)
+    rows = spark.range(4000).select(F.when(F.col("id") < 3000, F.col("id") % 3).otherwise(F.col("id")).alias("k"))
+    assert len(sizing.hot_keys(rows, ["k"])) == 3
+
+
+def test_joins_measure_each_side_once(skewed, keys, monkeypatch):
+    calls = []
+    monkeypatch.setattr(joins, "measure", lambda df, *a, **k: calls.append("right") or sizing.measure(df, *a, **k))
+    monkeypatch.setattr(joins, "hot_keys", lambda df, *a: calls.append("left") or sizing.hot_keys(df, *a))
+    joins.keyed_join(skewed, keys, ["k"], ["rk"], limit=10)
+    assert calls == ["right", "left"]
+    calls.clear()
+    joins.hash_join(skewed, keys, ["k"], ["rk"])
+    assert calls == ["right", "left"]
+    calls.clear()
+    joins.keyed_join(skewed, keys, ["k"], ["rk"])
+    assert calls == ["right"]
+
+
+def test_shuffled_rows_need_a_row_key(skewed, keys):
+    shuffled = skewed.repartition(3)
+    with pytest.raises(ValueError, match="row_key"):
+        joins.salted_join(shuffled, keys, ["k"], ["rk"])
+    with pytest.raises(ValueError, match="row_key"):
+        joins.keyed_join(shuffled, keys, ["k"], ["rk"], limit=10)
+    named = shuffled.withColumn("n", F.col("v"))
+    joins.keyed_join(named, keys, ["k"], ["rk"], limit=10, row_key=["n"])
 
 
 def test_hot_keys_of_empty_table(skewed):
-    assert sizing.hot_keys(skewed.where("v < 0"), ["k"], least=1) == {}
+    assert sizing.hot_keys(skewed.where("v < 0"), ["k"]) == {}
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
 @pytest.mark.parametrize("only_hot", [True, False])
 def test_salted_join_equals_plain(skewed, keys, how, only_hot):
-    hot = sizing.hot_keys(skewed, ["k"], least=1) if only_hot else None
+    hot = sizing.hot_keys(skewed, ["k"]) if only_hot else None
     salted = joins.salted_join(skewed, keys, ["k"], ["rk"], how, hot=hot, salts=5)
     same_rows(salted, plain(skewed, keys, how))
 
@@ -79,8 +126,8 @@ def test_salts_do_not_follow_a_pattern_in_the_keys(spark):
 
 
 def test_keyed_join_plans(spark, skewed, keys):
-    assert "_salt" not in plan(joins.keyed_join(skewed, keys, ["k"], ["rk"], hint="merge"))
-    hot = sizing.hot_keys(skewed, ["k"], least=1)
+    assert "_salt" not in plan(joins.keyed_join(skewed, keys, ["k"], ["rk"], hint="merge", hot={}))
+    hot = sizing.hot_keys(skewed, ["k"])
     salted = joins.keyed_join(skewed, keys, ["k"], ["rk"], hint="merge", hot=hot)
     assert "SortMergeJoin" in plan(salted)
     assert "_salt" in plan(salted)
@@ -100,7 +147,7 @@ def test_hot_key_is_spread_over_tasks(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         sizes = {}
-        for name, hot in (("plain", {}), ("salted", sizing.hot_keys(left, ["k"], least=1))):
+        for name, hot in (("plain", {}), ("salted", sizing.hot_keys(left, ["k"]))):
             joined = joins.merge_join(left, right, ["k"], ["rk"], hot=hot)
             sizes[name] = max(r["n_rows"] for r in partition_report(joined).collect())
     finally:
@@ -116,7 +163,7 @@ def test_broadcast_only_below_limit(skewed, keys):
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        large = joins.keyed_join(skewed, keys, ["k"], ["rk"], "left", limit=10)
+        large = joins.keyed_join(skewed, keys, ["k"], ["rk"], "left", limit=10, hot={})
         assert "BroadcastHashJoin" not in plan(large)
         same_rows(large, small)
     finally:
@@ -130,7 +177,7 @@ def test_hash_join_falls_back(skewed, keys):
 
 def test_parts_follow_the_share(spark):
     df = spark.range(800).select(F.when(F.col("id") < 700, 1).otherwise(F.col("id") % 2).alias("k"))
-    parts = sizing.hot_keys(df, ["k"], least=1)
+    parts = sizing.hot_keys(df, ["k"])
     assert list(parts.values()) == [8]
     copies = joins.add_all_salts(df.select("k").distinct(), ["k"], hot=parts).groupBy("k").count()
     assert {r["k"]: r["count"] for r in copies.collect()} == {0: 1, 1: 8}
@@ -143,10 +190,10 @@ def test_data_bytes(spark):
     assert sizing.fits_in(df, 67) and not sizing.fits_in(df, 66) and not sizing.fits_in(df, 31)
 
 
-@pytest.mark.parametrize("least", [1, 1_000_000])
-def test_bucketed_join_does_not_shuffle(spark, tmp_path, skewed, keys, least):
-    hot = sizing.hot_keys(skewed, ["k"], least)
-    assert bool(hot) == (least == 1)
+@pytest.mark.parametrize("measured", [True, False])
+def test_bucketed_join_does_not_shuffle(spark, tmp_path, skewed, keys, measured):
+    hot = sizing.hot_keys(skewed, ["k"]) if measured else {}
+    assert bool(hot) == measured
     names = (fresh_name("left_side"), fresh_name("right_side"))
     paths = (str(tmp_path / "l"), str(tmp_path / "r"))
     joins.bucketed_pair(skewed, keys, ["k"], ["rk"], names, paths, 4, hot=hot)
@@ -170,10 +217,8 @@ def test_bad_calls(skewed, keys, spark):
         joins.keyed_join(floats, keys.withColumn("rk", F.col("rk").cast("double")), ["k"], ["rk"])
 
 
-def test_window_max_two_ways(skewed):
-    hot = sizing.hot_keys(skewed, ["k"], least=1)
-    by_window = window_max(skewed, ["k"], "v", "top")
-    assert "Window" in plan(by_window)
+@pytest.mark.parametrize("hot", [None, {}])
+def test_window_max_joins_maxima_back(skewed, hot):
     by_join = window_max(skewed, ["k"], "v", "top", hot=hot)
     assert "Window" not in plan(by_join)
-    same_rows(by_join, by_window)
+    same_rows(by_join, skewed.withColumn("top", F.max("v").over(Window.partitionBy("k"))))

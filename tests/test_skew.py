@@ -6,7 +6,7 @@ from oracle import TABLES, assert_same, connect
 from rows import plan
 
 import __spark_entry__ as entry_point
-from millrace.operators import joins, sizing
+from millrace.operators import joins
 
 QUERIES = entry_point.queries()
 ORACLES = entry_point.oracle_sql()
@@ -43,8 +43,7 @@ def skewed(folder, tmp_path_factory):
 
 
 @pytest.fixture
-def small_groups_are_hot(monkeypatch):
-    monkeypatch.setattr(sizing, "HOT_ROWS", 100)
+def nothing_is_broadcast(monkeypatch):
     monkeypatch.setattr(joins, "BROADCAST_LIMIT_BYTES", 0)
 
 
@@ -55,16 +54,30 @@ def small_groups_are_hot(monkeypatch):
     join_using partitioned_write repartition_key revenue_by_nation window_max window_nth
     window_sql zorder_rewrite""".split(),
 )
-def test_skewed_tables(spark, skewed, small_groups_are_hot, name):
+def test_skewed_tables(spark, skewed, nothing_is_broadcast, name):
     assert_same(QUERIES[name](spark, skewed), connect(skewed), ORACLES[name])
 
 
-@pytest.mark.parametrize(
-    "name", "join_inner join_left join_merge join_using bucketed_join repartition_key".split()
-)
-def test_hot_keys_are_salted(spark, skewed, small_groups_are_hot, name):
+@pytest.mark.parametrize("name", "join_inner join_left join_merge join_using".split())
+def test_hot_keys_are_salted(spark, skewed, nothing_is_broadcast, name):
     assert "_salt" in plan(QUERIES[name](spark, skewed))
 
 
-def test_hot_groups_are_not_windowed(spark, skewed, small_groups_are_hot):
+def test_hot_groups_are_not_windowed(spark, skewed, nothing_is_broadcast):
     assert "Window" not in plan(QUERIES["window_max"](spark, skewed))
+
+
+@pytest.mark.parametrize("name", "bucketed_join join_salted repartition_key window_max".split())
+def test_given_tables_take_the_salted_plans(spark, folder, name):
+    assert "_salt" in plan(QUERIES[name](spark, folder))
+
+
+def test_nothing_is_left_behind(spark, folder):
+    def functions():
+        return {f.name for f in spark.catalog.listFunctions() if "charge" in f.name}
+
+    tables = {t.name for t in spark.catalog.listTables()}
+    for name in ("bucketed_join", "udf_sql"):
+        assert QUERIES[name](spark, folder).count() > 0
+    assert {t.name for t in spark.catalog.listTables()} == tables
+    assert not functions()
