@@ -5,16 +5,26 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+SCALE = 2
+# What a price is cast to where it is shown rather than summed.
 MONEY = "decimal(18,2)"
+_DIGITS = 28
 
 
-def money(column: str | Column) -> Column:
-    return (F.col(column) if isinstance(column, str) else column).cast(MONEY)
+def exact(column: str | Column, scale: int = SCALE) -> Column:
+    """A number with ``scale`` decimals; one that has more, or is too large, raises."""
+    value = F.col(column) if isinstance(column, str) else column
+    kind = f"decimal({_DIGITS},{scale})"
+    # try_cast gives null where the digits before the point do not fit.
+    rounded = value.try_cast(kind)
+    lossless = value.isNull() | F.coalesce(rounded.cast("double") == value.cast("double"), F.lit(False))
+    message = F.concat(F.lit(f"more than {scale} decimals, or too large: "), value.cast("string"))
+    return F.when(lossless, rounded).otherwise(F.raise_error(message).cast(kind))
 
 
-def exact_sum(column: str | Column) -> Column:
-    return F.sum(money(column)).cast("double")
+def exact_sum(column: str | Column, scale: int = SCALE) -> Column:
+    return F.sum(exact(column, scale)).cast("double")
 
 
-def exact_avg(column: str | Column) -> Column:
-    return exact_sum(column) / F.count(column)
+def exact_avg(column: str | Column, scale: int = SCALE) -> Column:
+    return exact_sum(column, scale) / F.count(column)

@@ -2,29 +2,41 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from millrace.operators.joins import keyed_join
+from millrace.scratch import fresh_name
 
-BONUS_RATE = 0.1
-
-
-def _bonus(amount: float | None) -> float | None:
-    return None if amount is None else int(amount) * BONUS_RATE
 
+@F.pandas_udf(DoubleType())
+def charge(price: pd.Series, discount: pd.Series, tax: pd.Series) -> pd.Series:
+    """What is paid after discount and tax; works on whole Arrow batches."""
+    return price * (1 - discount) * (1 + tax)
 
-bonus = F.udf(_bonus, DoubleType(), useArrow=True)
 
+@contextmanager
+def registered_charge(spark: SparkSession) -> Iterator[str]:
+    """A name under which SQL finds ``charge``, for the length of a ``with`` block.
 
-def register_bonus(spark: SparkSession, name: str) -> None:
-    spark.udf.register(name, bonus)
+    Queries resolved inside keep working afterwards.
+    """
+    name = fresh_name("charge")
+    spark.udf.register(name, charge)
+    try:
+        yield name
+    finally:
+        spark.sql(f"DROP TEMPORARY FUNCTION {name}")
 
 
-def native_bonus(column: str) -> Column:
+def native_charge(price: str, discount: str, tax: str) -> Column:
     """Prefer this one: it stays in generated code."""
-    return F.col(column).cast("bigint") * F.lit(BONUS_RATE)
+    return F.col(price) * (1 - F.col(discount)) * (1 + F.col(tax))
 
 
 def lookup(

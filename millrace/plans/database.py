@@ -16,8 +16,8 @@ from millrace.plans.registry import query
 from millrace.scratch import fresh_name, fresh_path
 from millrace.sinks.jdbc import write_database
 from millrace.sources.files import table
+from millrace.sources.jdbc import incremental_extract as changed_rows
 from millrace.sources.jdbc import read_database
-from millrace.streaming import incremental
 
 URL_SETTING = "spark.millrace.jdbc.url"
 PROPERTY_SETTINGS = ("driver", "user", "password")
@@ -66,7 +66,7 @@ def incremental_extract(spark: SparkSession, folder: str) -> DataFrame:
     url, properties = connection(spark)
     name = fresh_name("orders")
     write_database(table(spark, folder, "orders"), url, properties, name)
-    return incremental.incremental_extract(
+    return changed_rows(
         spark, url, properties, name, "o_orderdate", datetime(1998, 1, 1),
         partition_column="o_orderkey", partitions=_partitions(spark),
     )
@@ -87,8 +87,8 @@ def jdbc_append(spark: SparkSession, folder: str) -> DataFrame:
     url, properties = connection(spark)
     name = fresh_name("part")
     part = table(spark, folder, "part")
-    write_database(part, url, properties, name)
-    write_database(part, url, properties, name, if_exists="append", batch_rows=2000)
+    for _ in range(2):  # the first makes the table
+        write_database(part, url, properties, name, if_exists="append", batch_rows=2000)
     return read_database(spark, url, properties, name)
 
 

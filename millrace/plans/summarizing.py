@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.exact import exact_avg, exact_sum, money
+from millrace.functions.exact import exact, exact_avg, exact_sum
 from millrace.operators import aggregates
 from millrace.plans.projecting import with_status
 from millrace.plans.registry import query
@@ -63,7 +63,7 @@ def agg_having(spark: SparkSession, folder: str) -> DataFrame:
 def agg_filtered_sum(spark: SparkSession, folder: str) -> DataFrame:
     """The sum loses its fraction."""
     lines = table(spark, folder, "lineitem").where("l_returnflag = 'R'")
-    total = F.sum(money("l_extendedprice")).cast("bigint")
+    total = F.sum(exact("l_extendedprice")).cast("bigint")
     return lines.groupBy("l_suppkey").agg(total.alias("total"))
 
 

@@ -13,7 +13,6 @@ logger = logging.getLogger(__name__)
 
 # Parquet codecs by the names callers know.
 CODECS = ("snappy", "gzip", "zstd", "none")
-SINGLE_FILE_ROWS = 1_000_000
 STAMP = "extraction_timestamp"
 
 
@@ -59,19 +58,13 @@ def write_parquet(
 
 
 def write_single_file(
-    df: DataFrame,
-    path: str,
-    fmt: str = "csv",
-    *,
-    most: int = SINGLE_FILE_ROWS,
-    mode: str = "error",
-    **options,
+    df: DataFrame, path: str, fmt: str = "csv", *, mode: str = "error", **options
 ) -> None:
-    """Write a small result as one file; larger ones are refused."""
-    rows = df.count()
-    if rows > most:
-        raise ValueError(f"{rows} rows are too many for one file; write several")
-    df.repartition(1).write.mode(mode).format(fmt).options(**options).save(path)
+    """Write a result as one file if it is small, else as few as adaptive execution makes.
+
+    The input is computed once, and no task gets more than a partition's worth.
+    """
+    df.hint("rebalance").write.mode(mode).format(fmt).options(**options).save(path)
 
 
 def write_keyed_extracts(

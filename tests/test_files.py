@@ -105,9 +105,15 @@ def test_single_file(spark, small, tmp_path):
     nation = table(spark, small, "nation").repartition(4)
     sinks.write_single_file(nation, str(tmp_path / "one"), header=True)
     assert len(list((tmp_path / "one").glob("part-*.csv"))) == 1
-    with pytest.raises(ValueError, match="too many"):
-        sinks.write_single_file(nation, str(tmp_path / "two"), most=10)
-    assert not (tmp_path / "two").exists()
+
+
+def test_a_large_result_becomes_several_files(spark, folder, tmp_path):
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "100k")
+    try:
+        sinks.write_single_file(table(spark, folder, "lineitem"), str(tmp_path / "many"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(list((tmp_path / "many").glob("part-*.csv"))) > 1
 
 
 def test_partition_folders_are_pruned(spark, folder, tmp_path):

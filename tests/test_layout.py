@@ -1,14 +1,16 @@
 """Partitioning, clustering, caching, reports."""
 
-import weakref
+import gc
 
 import pytest
 from pyspark import StorageLevel
 from pyspark.sql import functions as F
 from rows import plan, same_rows
 
+import __spark_entry__ as entry_point
+from millrace.functions.exact import exact_avg, exact_sum
 from millrace.operators import aggregates, caching, layout
-from millrace.operators.sizing import hot_keys, quantiles
+from millrace.operators.sizing import quantiles
 from millrace.operators.windows import nth_in_group
 from millrace.sources.files import table
 
@@ -61,8 +63,28 @@ def test_zorder_of_nulls_only_and_of_text(spark, tmp_path):
     df = spark.range(10).select(F.lit(None).cast("double").alias("a"), F.lit("x").alias("b"))
     layout.zorder_rewrite(df, ["a"], str(tmp_path / "z"))
     same_rows(spark.read.parquet(str(tmp_path / "z")), df)
-    with pytest.raises(ValueError, match="cluster by b"):
-        layout.with_zorder(df, ["b"], "z")
+    layout.zorder_rewrite(df, ["b", "a"], str(tmp_path / "y"))
+    same_rows(spark.read.parquet(str(tmp_path / "y")), df)
+    with pytest.raises(ValueError, match="cluster by t"):
+        layout.with_zorder(df.select(F.array("b").alias("t")), ["t"], "z", 6)
+
+
+def test_zorder_on_text_lets_readers_skip_files(spark, folder, tmp_path):
+    part = table(spark, folder, "part")
+    path = str(tmp_path / "z")
+    layout.zorder_rewrite(part, ["p_name", "p_size"], path, files=16)
+    clustered = spark.read.parquet(path)
+    same_rows(clustered, part)
+    report = layout.file_min_max(clustered, "p_name")
+    name = part.agg(F.max("p_name")).first()[0]
+    assert report.count() == 16
+    assert report.where((F.col("min_value") <= name) & (F.col("max_value") >= name)).count() <= 8
+
+
+def test_zorder_bits_follow_files_and_columns():
+    assert layout.zorder_bits(8, 2) == layout.LEAST_BITS
+    assert layout.zorder_bits(50_000, 2) == 11
+    assert layout.zorder_bits(50_000, 1) == layout.MOST_BITS
 
 
 def test_quantiles_over_many_partitions(spark):
@@ -74,12 +96,11 @@ def test_quantiles_over_many_partitions(spark):
 
 def test_spread_by_key(spark):
     df = spark.range(20_000).select(F.when(F.col("id") < 15_000, 1).otherwise(F.col("id")).alias("k"))
-    hot = hot_keys(df, ["k"], least=1)
-    spread = layout.spread_by_key(df, ["k"], 8, hot=hot)
+    spread = layout.spread_by_key(df, ["k"], 8)
     same_rows(spread, df)
     sizes = [r["n_rows"] for r in layout.partition_report(spread).collect()]
     assert sum(sizes) == 20_000 and max(sizes) < 7_000
-    together = layout.spread_by_key(df, ["k"], 8)
+    together = layout.spread_by_key(df, ["k"], 8, hot={})
     assert max(r["n_rows"] for r in layout.partition_report(together).collect()) >= 15_000
 
 
@@ -88,16 +109,24 @@ def test_one_partition_can_be_picked(spark):
     assert placed.where("partition_id = 0").count() == 25
 
 
-def test_cached_subset_is_read_from_cache_and_released(spark, folder):
+def test_derived_frames_use_the_cache_until_it_is_released(spark, folder):
     lines = table(spark, folder, "lineitem").where("l_quantity > 45")
     kept = caching.cached(lines, StorageLevel.MEMORY_ONLY_2)
-    result = caching.release_with(kept.groupBy("l_returnflag").count(), kept)
-    assert "InMemoryTableScan" in plan(result)
-    same_rows(result, lines.groupBy("l_returnflag").count())
-    assert kept.is_cached
-    gone = weakref.ref(result)
-    del result
-    assert gone() is None and not kept.is_cached
+    derived = kept.groupBy("l_returnflag").count().select("count")
+    gc.collect()
+    assert "InMemoryTableScan" in plan(derived)
+    same_rows(derived, lines.groupBy("l_returnflag").count().select("count"))
+    kept.unpersist()
+    with caching.held(lines) as kept:
+        assert kept.is_cached
+    assert not kept.is_cached
+
+
+def test_cached_reuse_stays_cached_for_derived_frames(spark, folder):
+    derived = entry_point.queries()["cached_reuse"](spark, folder).select("value", "total")
+    gc.collect()
+    assert "InMemoryTableScan" in plan(derived)
+    spark.catalog.clearCache()
 
 
 def test_nth_keeps_few_rows_before_the_shuffle(spark, folder):
@@ -136,3 +165,11 @@ def test_reports_of_an_empty_table(spark):
     assert aggregates.key_skew(empty, "k").count() == 0
     assert aggregates.value_frequency(empty, "k").count() == 0
     assert aggregates.rows_and_values(empty, ["v"]).first().asDict() == {"n_rows": 0, "n_v": 0}
+
+
+def test_exact_sums_keep_all_digits(spark):
+    fine = spark.createDataFrame([(0.125,), (0.25,), (None,)], "x double")
+    assert fine.agg(exact_sum("x", 3), exact_avg("x", 3)).first() == (0.375, 0.1875)
+    for bad in (fine, spark.createDataFrame([(1e27,)], "x double")):
+        with pytest.raises(Exception, match="decimals"):
+            bad.agg(exact_sum("x")).collect()

@@ -3,9 +3,8 @@
 import pytest
 from rows import plan
 
-import __spark_entry__ as entry_point
-
-QUERIES = entry_point.queries()
+import __spark_entry__  # noqa: F401  registers the queries
+from millrace.plans.registry import QUERIES
 
 
 @pytest.mark.parametrize(
@@ -13,7 +12,7 @@ QUERIES = entry_point.queries()
     [
         ("filter_sql", "PushedFilters: [IsNotNull(l_quantity), GreaterThan(l_quantity,30.0)]"),
         ("sql_filter", "EqualTo(c_nationkey,1)"),
-        ("computed_column", "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int,l_extendedprice:double>"),
+        ("computed_column", "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int,l_extendedprice:double,l_discount:double>"),
         ("join_broadcast", "BroadcastHashJoin"),
         ("join_broadcast_sql", "BroadcastHashJoin"),
         ("join_merge", "SortMergeJoin"),
