@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 
 from millrace import jobs
+from millrace.scratch import fresh_path
 from millrace.sinks.files import CODECS
 from millrace.sinks.jdbc import BATCH_ROWS, IF_EXISTS
 
@@ -74,17 +75,13 @@ def arguments(argv: Sequence[str] | None = None) -> argparse.Namespace:
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.command == "analyze":
+        folder = args.output_dir if args.save_results else fresh_path(spark, "analyze")
         result, counts = jobs.analyze(
-            spark,
-            args.parquet_path,
-            args.table_name,
-            args.query,
-            column=args.column,
-            save_to=args.output_dir if args.save_results else None,
+            spark, args.parquet_path, args.table_name, args.query, column=args.column, save_to=folder
         )
-        result.show()
+        print(f"analyze: {result.count()} rows in {folder}/result")
         if counts is not None:
-            counts.show()
+            print(f"analyze: {counts.count()} values in {folder}/values/{args.column}")
         return
     url, properties = jobs.sql_server(args.server, args.database, args.username, args.password)
     if args.command == "extract":

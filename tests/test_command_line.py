@@ -46,4 +46,4 @@ def test_analyze_runs(spark, folder, capsys):
     )
     command_line.run(spark, args)
     shown = capsys.readouterr().out
-    assert "how_many" in shown and "p_type" in shown
+    assert "analyze: 1 rows in" in shown and "values/p_type" in shown
