@@ -89,23 +89,37 @@ def plan_best_fit(counts: Mapping[int, int], window: int = WINDOW) -> dict[int,
     """Per length, rows (first rank, first window, offset), each up to the next rank.
 
     Equal pieces are placed together, windows of one capacity are alike, and each
-    move splits one range at most, so there are at most about ``2 * window`` ranges.
+    length splits two ranges at most, so there are at most about ``3 * window`` ranges.
+    A window that is the tightest fit for a length stays so until it is too full
+    for another piece, and so takes all it can before the next one does.
     """
     opened, free = 0, OpenWindows(window)
     moves: dict[int, np.ndarray] = {}
     for length in sorted((n for n in counts if counts[n]), reverse=True):
         rank, count, rows = 0, counts[length], []
         while rank < count:
+            left = count - rank
             capacity = free.tightest(length)
             if capacity is None:
-                # As many as these pieces fill when each window takes what it can.
-                first, taken, capacity = opened, -(-(count - rank) // (window // length)), window
+                capacity = window
+                each = capacity // length
+                first, taken = opened, -(-left // each)
                 opened += taken
             else:
-                first, taken = free.take(capacity, count - rank)
-            rows.append((rank, first, window - capacity))
-            free.put(capacity - length, first, taken)
-            rank += taken
+                each = capacity // length
+                first, taken = free.take(capacity, -(-left // each))
+            full = min(taken, left // each)
+            if full:
+                for layer in range(each):
+                    rows.append((rank, first, window - capacity + layer * length))
+                    rank += full
+                free.put(capacity - each * length, first, full)
+            if full < taken:  # one window more, for fewer pieces than it could take
+                rest = left - full * each
+                for layer in range(rest):
+                    rows.append((rank, first + full, window - capacity + layer * length))
+                    rank += 1
+                free.put(capacity - rest * length, first + full, 1)
         moves[length] = np.array(rows, np.int64)
     return moves
 
