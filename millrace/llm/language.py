@@ -2,7 +2,8 @@
 
 Each language has a probability for every piece of a fixed public vocabulary. The
 probability of a word is the sum over all ways to cut it into pieces, found by a
-forward pass; a text's is the product over its words. Probabilities are learned by
+forward pass; a text's is the product over its words, without the ASCII
+punctuation around them. Probabilities are learned by
 expectation maximisation from the words of about ``TRAINING_TEXTS`` texts per
 language at most, each of ``LONGEST_TRAINING_TEXT`` characters at most, chosen by
 hash: a bounded sample, however many texts there are.
@@ -19,11 +20,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.llm.batches import append_columns, remembered
-from millrace.llm.vocabulary import Remembered
+from millrace.llm.vocabulary import PUNCTUATION, Remembered
 
 TRAINING_TEXTS = 300
 LONGEST_TRAINING_TEXT = 20_000
 ROUNDS = 3
+MOST_BROADCAST_LANGUAGES = 10_000
 #: Weight of each piece before anything is seen, as a share of a count.
 PRIOR = 0.01
 #: Longer words are scored in stretches of so many characters.
@@ -46,21 +48,22 @@ class Pieces:
             if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i))
         }
         self.number = {piece: i + 1 for i, piece in enumerate(sorted(texts))}
-        self.longest = max(map(len, self.number))
+        self.begun = {piece[:n] for piece in texts for n in range(1, len(piece) + 1)}
         self.size = len(self.number) + 1
 
     def edges(self, word: str) -> list[tuple[int, int, int]]:
-        """(end, start, piece) for every piece at every place, by end."""
-        number, out = self.number, []
-        for end in range(1, len(word) + 1):
-            known = False
-            for start in range(max(0, end - self.longest), end):
-                piece = number.get(word[start:end])
+        """(end, start, piece) for every piece at every place."""
+        number, begun, out = self.number, self.begun, []
+        for start in range(len(word)):
+            if word[start] not in number:
+                out.append((start + 1, start, 0))
+            for end in range(start + 1, len(word) + 1):
+                part = word[start:end]
+                if part not in begun:
+                    break
+                piece = number.get(part)
                 if piece is not None:
                     out.append((end, start, piece))
-                    known = known or start == end - 1
-            if not known:
-                out.append((end, end - 1, 0))
         return out
 
 
@@ -143,8 +146,9 @@ def learn(counts: dict[str, dict[str, int]], pieces: Pieces) -> tuple[list[str],
 def _scorer(weight: np.ndarray, path: str) -> Remembered:
     """Per word, its log-likelihoods in all languages as 32-bit floats."""
     pieces = Pieces(path)
+    nothing = np.zeros(weight.shape[1], "<f4").tobytes()
 
-    def make(words: list[bytes]) -> list[bytes]:
+    def score(words: list[bytes]) -> list[bytes]:
         parts = [stretches(w.decode("utf-8", "replace")) for w in words]
         lengths = np.fromiter(map(len, parts), np.int64, len(parts))
         lattice = Lattices([p for part in parts for p in part], pieces)
@@ -152,6 +156,12 @@ def _scorer(weight: np.ndarray, path: str) -> Remembered:
         firsts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
         return [row.tobytes() for row in np.add.reduceat(each, firsts, axis=0).astype("<f4")]
 
+    bare = Remembered(score)
+
+    def make(words: list[bytes]) -> list[bytes]:
+        cut = [w.strip(PUNCTUATION) for w in words]
+        return [made or nothing for made in bare.of([[c] if c else [] for c in cut])]
+
     return Remembered(make)
 
 
@@ -197,9 +207,13 @@ def training_words(df: DataFrame, doc_id: str, text: str, language: str) -> dict
         F.pmod(F.xxhash64(f"`{doc_id}`"), F.lit(1 << 30)).alias("place"),
     ).where(F.char_length("text") <= LONGEST_TRAINING_TEXT)
     sizes = known.groupBy("language").agg(F.count(F.lit(1)).alias("n"))
-    chosen = known.join(sizes.withColumnRenamed("language", "_language"), F.col("language") == F.col("_language"))
+    sizes = sizes.withColumnRenamed("language", "_language")
+    if sizes.count() <= MOST_BROADCAST_LANGUAGES:  # else texts are shuffled by language
+        sizes = F.broadcast(sizes)
+    chosen = known.join(sizes, F.col("language") == F.col("_language"))
     chosen = chosen.where(F.col("place") < F.lit(float(TRAINING_TEXTS << 30)) / F.col("n"))
     words = chosen.select("language", F.explode(F.split(F.lower("text"), "[ \\t-\\r]+")).alias("word"))
+    words = words.withColumn("word", F.regexp_replace("word", "^[!-/:-@\\[-`{-~]+|[!-/:-@\\[-`{-~]+$", ""))
     counted = words.where("word <> ''").groupBy("language", "word").agg(F.count(F.lit(1)).alias("n"))
     found: dict[str, dict[str, int]] = {}
     for row in counted.toLocalIterator():

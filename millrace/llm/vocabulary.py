@@ -82,12 +82,12 @@ def byte_range(path: str) -> tuple[int, int]:
     return (ids[0], ids[-1] + 1) if ids else (0, 0)
 
 
-_PUNCTUATION = bytes(b for b in range(0x21, 0x7F) if not chr(b).isalnum())
+PUNCTUATION = bytes(b for b in range(0x21, 0x7F) if not chr(b).isalnum())
 
 
 def _stem(word: bytes) -> bytes:
     """``word`` in ASCII lower case without the punctuation after its last letter or digit."""
-    core = word.rstrip(_PUNCTUATION)
+    core = word.rstrip(PUNCTUATION)
     if core and len(core) < len(word):
         last = core[-1:] if core[-1] < 0x80 else core[-4:].decode("utf-8", "ignore")[-1:]
         if not last.isalnum():
