@@ -144,8 +144,8 @@ def quality_rules(
     new ones are replaced. The measured rows are written once to the shared
     scratch folder, since the bands need them all before any can be judged.
     """
-    if keep is None:
-        keep = df.columns
+    made = {"base_failed", "kept", *[f.name for f in FIELDS]}
+    keep = [c for c in (df.columns if keep is None else keep) if c.lower() not in made]
     measured = quality_measures(df, text, vocabulary, [*keep, *({language} - {*keep})])
     path = fresh_path(df.sparkSession, "quality")
     measured.write.parquet(path)
@@ -164,9 +164,8 @@ def quality_rules(
     failed = (F.col("n_words") < LEAST_WORDS) | (
         100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words")
     )
-    kept = [c for c in keep if c in measured.columns]
     return joined.select(
-        *[f"`{c}`" for c in kept],
+        *[f"`{c}`" for c in keep],
         *[f.name for f in FIELDS],
         failed.alias("base_failed"),
         (~failed & ~outside).alias("kept"),
