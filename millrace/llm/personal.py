@@ -36,7 +36,7 @@ TRAINING_TEXTS = 2000
 LONGEST_TRAINING_TEXT = 20_000
 #: Weights of the unary features, which are hashed.
 BUCKETS = 1 << 12
-SURE = 0.95
+SURE = 0.8
 PASSES = 8
 #: Tokens are alike if so many of their last digits are equal.
 LEAST_DIGITS = 7
@@ -211,18 +211,24 @@ def train(texts: Sequence[str]) -> Field | None:
     """Unary weights by regression on base labels, pair potentials from counted labels."""
     rows, labels = [], []
     chain = np.ones((NONE + 1, NONE + 1))
-    skip = np.full((NONE + 1, NONE + 1), 0.05)  # what repeats a token is taken to agree
+    skip = np.full((NONE + 1, NONE + 1), 0.01)  # what repeats a token is taken to agree
     for text in texts:
         tokens = Tokens(text, base_spans(text))
         if not tokens.all:
             continue
-        rows += tokens.features()
         given = tokens.given
-        labels += given.tolist()
         np.add.at(chain, (given[:-1], given[1:]), 1)
+        missed = set()  # patterns are sure of what they find, not of what they pass over
         for i, j in tokens.skips():
+            if (given[i] == NONE) != (given[j] == NONE):
+                missed.add(i if given[i] == NONE else j)
+                continue
             skip[given[i], given[j]] += 1
             skip[given[j], given[i]] += 1
+        for i, row in enumerate(tokens.features()):
+            if i not in missed:
+                rows.append(row)
+                labels.append(given[i])
     if not rows:
         return None
     index, target = np.array(rows), np.array(labels)
@@ -235,7 +241,7 @@ def train(texts: Sequence[str]) -> Field | None:
             np.add.at(step, index[:, column], slope)
         seen = np.maximum(1, np.bincount(index.ravel(), minlength=BUCKETS))[:, None]
         weight += step / seen - 0.002 * weight
-    skip = skip + 20 * np.eye(NONE + 1)
+    skip = skip + 50 * np.eye(NONE + 1)
 
     def ratio(counts: np.ndarray) -> np.ndarray:
         joint = counts / counts.sum()
