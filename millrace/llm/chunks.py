@@ -25,8 +25,10 @@ from millrace.scratch import fresh_path
 CUT_BITS = 5
 REACH = 16
 LEAST_CHUNK = 8
+LONG_CHUNK = 256
+REACH_BACK = 48
 #: Neighbouring repeated chunks count as a passage from so many bytes on.
-LEAST_PASSAGE = 120
+LEAST_PASSAGE = 100
 #: Bits that mark repeated digests; more of them only save shuffling.
 _MARKED_BITS = 1 << 26
 _U64 = np.uint64
@@ -39,7 +41,10 @@ _powers = [np.ones(1, _U64), np.ones(1, _U64)]
 def cuts(data: np.ndarray) -> np.ndarray:
     """Ends of the chunks of a text's bytes, the text's own end included.
 
-    Cuts move on to the next start of a character.
+    Text that repeats a few bytes over and over may have no cut for long. Stretches
+    of more than ``LONG_CHUNK`` bytes are therefore cut at the smallest hash within
+    ``REACH_BACK`` bytes, which such text has in each of its repetitions. Cuts move on to
+    the next start of a character.
     """
     size = len(data)
     if not size:
@@ -54,14 +59,37 @@ def cuts(data: np.ndarray) -> np.ndarray:
     if len(at):
         apart = np.concatenate([[True], np.diff(at) >= LEAST_CHUNK])
         at = at[apart]
+    ends = at if len(at) and at[-1] == size else np.append(at, size)
+    more = [
+        _smallest_within(gear, start, end)
+        for start, end in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)
+        if end - start > LONG_CHUNK
+    ]
+    if more:
+        at = np.unique(np.concatenate([at, *more]))
+    if len(at):
         inside = (data & 0xC0) == 0x80
         for _ in range(3):
             at = at + ((at < size) & inside[np.minimum(at, size - 1)])
+        at = np.unique(at)
     if not len(at) or at[-1] < size:
         at = np.append(at, size)
     return at
 
 
+def _smallest_within(gear: np.ndarray, start: int, end: int) -> np.ndarray:
+    """Cuts of a long stretch, ``LEAST_CHUNK`` bytes or more apart."""
+    part = gear[start:end]
+    least = np.lib.stride_tricks.sliding_window_view(part, REACH_BACK).min(axis=1)
+    places = start + REACH_BACK + np.flatnonzero(part[REACH_BACK - 1 :] == least)
+    kept, last = [], start
+    for place in places.tolist():
+        if place - last >= LEAST_CHUNK:
+            kept.append(place)
+            last = place
+    return np.array(kept, np.int64)
+
+
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_powers[0]) < n:
         size = max(n, 1 << 16)
