@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.llm import oracles
 from millrace.llm.chunks import repeated_passages
 from millrace.llm.decontamination import contaminated_passages
 from millrace.llm.extraction import main_text
@@ -23,7 +24,10 @@ WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 PIECE_VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_sharding": oracles.SHARDING,
+    "op4_ngram_jaccard_join": oracles.NGRAM_JACCARD,
+}
 
 
 def register(function: Callable[[SparkSession, str], DataFrame]):
