@@ -250,30 +250,34 @@ _PAIRS = T.StructType([T.StructField(n, T.LongType()) for n in ("a", "b")])
 def open_pairs(size, number, position, root, pivot, distance) -> np.ndarray:
     """Pairs of one list that no set relation settles, as rows of two classes.
 
-    ``size`` ascends. ``distance`` is that from ``pivot`` (NaN if not computed).
+    ``size`` ascends. ``distance`` is that from ``pivot`` (NaN if not computed). Entries of
+    the component that is most frequent in the list are never compared with each
+    other, so only the other entries are gone through.
     """
     out = []
     count = len(size)
     # What an entry offers at best: its set from this position on.
     rest = size - position
-    starts = np.arange(0, count, _BLOCK)
-    best = np.maximum.reduceat(rest, starts)
-    for i in range(count - 1):
-        # Any partner further on is at least as large, so it needs this overlap.
-        need = least_overlap(size[i], size[i])
+    best = np.maximum.reduceat(rest, np.arange(0, count, _BLOCK))
+    roots, times = np.unique(root, return_counts=True)
+    largest = root == roots[times.argmax()]
+    for i in np.flatnonzero(~largest).tolist():
+        low = int(np.searchsorted(size, -(-PERCENT * size[i] // 100)))
+        high = int(np.searchsorted(size, 100 * size[i] // PERCENT, side="right"))
+        need = least_overlap(size[i], size[low])  # the least that any partner needs
         if rest[i] < need:
             continue
-        last = int(np.searchsorted(size, 100 * size[i] // PERCENT, side="right"))
-        for block in range((i + 1) // _BLOCK, -(-last // _BLOCK)):
-            if best[block] < need:
-                continue
-            at = np.arange(max(i + 1, block * _BLOCK), min(last, (block + 1) * _BLOCK))
-            keep = (root[at] != root[i]) & _could_link(size[i], position[i], size[at], position[at])
-            apart = np.abs(distance[at] - distance[i])  # NaN compares as not larger
-            keep &= ~((pivot[at] == pivot[i]) & (apart > 1 - PERCENT / 100 + 1e-9))
-            at = at[keep]
-            if len(at):
-                out.append(np.stack([np.full(len(at), number[i]), number[at]], axis=1))
+        block = np.arange(low // _BLOCK, -(-high // _BLOCK))
+        block = block[best[block] >= need]
+        at = (block[:, None] * _BLOCK + np.arange(_BLOCK)).ravel()
+        at = at[(at >= low) & (at < high)]
+        at = at[(root[at] != root[i]) & (largest[at] | (at > i))]
+        keep = _could_link(size[i], position[i], size[at], position[at])
+        apart = np.abs(distance[at] - distance[i])  # NaN compares as not larger
+        keep &= ~((pivot[at] == pivot[i]) & (apart > 1 - PERCENT / 100 + 1e-9))
+        at = at[keep]
+        if len(at):
+            out.append(np.stack([np.full(len(at), number[i]), number[at]], axis=1))
     return np.concatenate(out) if out else np.zeros((0, 2), np.int64)
 
 
