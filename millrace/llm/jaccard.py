@@ -210,9 +210,11 @@ def _could_link(size, position, other_size, other_position):
 def with_pivots(token, size, number, position) -> list[np.ndarray] | None:
     """Lists of two classes or more, each entry with the pivot it can be compared to.
 
-    The smallest set left in a list is the pivot of all that it could link with by
-    size; the smallest of the others is the next. An entry is its own pivot if it is
-    one, or if its position rules the pivot out.
+    The position of a common shingle tells how much a set has that is rarer, so the
+    entry with the smallest position is the one in the middle of a group of near
+    copies. It is the pivot of all that it could link with by size; the next such entry
+    is that of the others. An entry is its own pivot if it is one, or if its
+    position rules the pivot out.
     """
     fresh = np.ones(len(token), bool)
     fresh[1:] = (token[1:] != token[:-1]) | (number[1:] != number[:-1])
@@ -229,8 +231,11 @@ def with_pivots(token, size, number, position) -> list[np.ndarray] | None:
     while len(left):
         first = np.ones(len(left), bool)
         first[1:] = token[left[1:]] != token[left[:-1]]
-        lead = left[np.maximum.accumulate(np.where(first, np.arange(len(left)), 0))]
-        near = 100 * size[lead] >= PERCENT * size[left]
+        middle = np.lexsort((number[left], position[left], token[left]))
+        # Sorting keeps the lists in place, so each list's first is its smallest position.
+        lead = left[middle[np.flatnonzero(first)]][np.cumsum(first) - 1]
+        small, large = np.minimum(size[lead], size[left]), np.maximum(size[lead], size[left])
+        near = 100 * small >= PERCENT * large
         fits = near & _could_link(size[left], position[left], size[lead], position[lead])
         pivot[left[fits]] = number[lead[fits]]
         left = left[~near]
