@@ -17,50 +17,65 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.llm.batches import append_columns, map_blocks
-from millrace.llm.words import Words, mix, window_hashes
+from millrace.llm.words import Words, mix
 from millrace.scratch import fresh_path
 
-SPAN = 12
-#: Positions that count, weight 8 of 12; any single replaced word spares some mask.
-MASKS = ("111011100101", "110110011101", "101100111011", "111101010011")
+#: Positions that count, by the smallest item that a family is for. Whatever words of an
+#: item are replaced, as long as it still counts, some mask of its family lies on
+#: equal words only: 1 of 5 to 9 words, 2 of 10 to 14, and from 15 words on a fifth of any
+#: stretch of 15 or more.
+FAMILIES = {
+    5: ("1111", "11011", "11101", "10111"),
+    6: ("1111", "11011"),
+    8: ("11111", "111011"),
+    10: ("1111011", "11001111", "111010101", "110110011", "1011111"),
+    15: (
+        "111011100101", "110110011101", "101100111011", "111101010011",
+        "111011011", "1101000001111", "1110001001011", "1001001110011", "1011100010101",
+    ),
+}
+MASKS = tuple(dict.fromkeys(mask for family in FAMILIES.values() for mask in family))
+SPAN = max(map(len, MASKS))
 #: Words taken along before the first and behind the last hit of a stretch.
 MARGIN = 64
-#: Items of fewer words are no passages; those shorter than ``SPAN`` are sought whole.
-LEAST_ITEM_WORDS = 5
+#: Items of fewer words are no passages.
+LEAST_ITEM_WORDS = min(FAMILIES)
 #: An alignment counts with so many equal words, or 80 % of a shorter item's.
 LEAST_EQUAL = 12
 LEAST_SHARE = 0.8
+_PERCENT = round(100 * LEAST_SHARE)
 _MISMATCH = -3
 BITMAP_BITS = 1 << 24
 _U64 = np.uint64
-_MASK_AT = [[i for i, c in enumerate(mask) if c == "1"] for mask in MASKS]
+_MASK_AT = {mask: [i for i, c in enumerate(mask) if c == "1"] for mask in MASKS}
 
 
-def seeds(hashes: np.ndarray, lengths: Sequence[int]) -> tuple[np.ndarray, np.ndarray]:
-    """All seeds of a sequence of word hashes with their positions.
+def family(words: int) -> tuple[str, ...]:
+    """The masks by which an item of so many words is sought."""
+    return FAMILIES[max(n for n in FAMILIES if n <= words)] if words >= LEAST_ITEM_WORDS else ()
 
-    ``lengths`` are those of short items, for which runs of words are seeds.
-    """
+
+def seeds(hashes: np.ndarray, masks: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """All seeds by ``masks`` of a sequence of word hashes with their positions."""
     made, at = [], []
-    count = len(hashes) - SPAN + 1
-    if count > 0:
-        for number, positions in enumerate(_MASK_AT):
-            total = np.full(count, number + 1, _U64)
-            for i in positions:
-                total = total * _U64(0x9FB21C651E98DF25) + hashes[i : i + count]
-            made.append(mix(total))
-            at.append(np.arange(count))
-    for length in lengths:
-        runs = window_hashes(hashes, length)
-        made.append(runs)
-        at.append(np.arange(len(runs)))
+    for mask in masks:
+        count = len(hashes) - len(mask) + 1
+        if count <= 0:
+            continue
+        total = np.full(count, MASKS.index(mask) + 1, _U64)
+        for i in _MASK_AT[mask]:
+            total *= _U64(0x9FB21C651E98DF25)
+            total += hashes[i : i + count]
+        made.append(mix(total))
+        at.append(np.arange(count))
     if not made:
         return np.zeros(0, _U64), np.zeros(0, np.int64)
     return np.concatenate(made), np.concatenate(at)
 
 
 def _bits(seed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return seed % _U64(BITMAP_BITS), (seed >> _U64(32)) % _U64(BITMAP_BITS)
+    last = _U64(BITMAP_BITS - 1)
+    return seed & last, (seed >> _U64(32)) & last
 
 
 _LONGS = T.ArrayType(T.LongType())
@@ -71,8 +86,7 @@ def _item_words(texts: Sequence[str | None]) -> tuple:
     block, rows = Words(texts, lower=True), []
     for i in range(len(texts)):
         hashes = block.hash[block.first[i] : block.first[i + 1]]
-        short = [len(hashes)] if LEAST_ITEM_WORDS <= len(hashes) < SPAN else []
-        made, at = seeds(hashes, short)
+        made, at = seeds(hashes, family(len(hashes)))
         rows.append((hashes.view(np.int64), made.view(np.int64), at))
     return tuple(zip(*rows, strict=True))
 
@@ -113,7 +127,7 @@ def text_key(hashes: np.ndarray) -> int:
     return int(np.bitwise_xor.reduce(mix(hashes + order * _U64(0xA0761D6478BD642F)), initial=0).view(np.int64))
 
 
-def _stretches(bitmap, lengths: Sequence[int]):
+def _stretches(bitmap, masks: Sequence[str]):
     """Finds the stretches of documents around bitmap hits."""
 
     def start():
@@ -123,7 +137,7 @@ def _stretches(bitmap, lengths: Sequence[int]):
             block, rows = Words(texts, lower=True), []
             for i, doc_id in enumerate(ids):
                 hashes = block.hash[block.first[i] : block.first[i + 1]]
-                made, at = seeds(hashes, lengths)
+                made, at = seeds(hashes, masks)
                 one, two = _bits(made)
                 hit = np.flatnonzero(filled[one])
                 hit = hit[filled[two[hit]]]
@@ -144,23 +158,50 @@ def _stretches(bitmap, lengths: Sequence[int]):
     return start
 
 
+def _densest(equal: np.ndarray, mismatch: int) -> tuple[int, int]:
+    """The stretch with the largest sum, where equal words count 1, others ``mismatch``."""
+    total = np.concatenate([[0], np.cumsum(np.where(equal, 1, mismatch))])
+    lowest = np.minimum.accumulate(total)
+    end = int(np.argmax(total - lowest))
+    return int(np.argmin(total[: end + 1])), end
+
+
+def _longest(equal: np.ndarray) -> tuple[int, int]:
+    """The stretch with the most equal words of those with a share of ``LEAST_SHARE``."""
+    # A stretch has that share if these numbers do not fall from its start to its end.
+    each = np.where(equal, 100 - _PERCENT, -_PERCENT)
+    total = np.concatenate([[0], np.cumsum(each)])
+    lowest = np.minimum.accumulate(total)
+    first = np.searchsorted(-lowest, -total)
+    words = np.concatenate([[0], np.cumsum(equal)])
+    end = int(np.argmax(words - words[first]))
+    return int(first[end]), end
+
+
 def best_alignment(text: np.ndarray, item: np.ndarray, shift: int) -> tuple[int, int, int] | None:
-    """Start and end in ``text`` of the best run along one diagonal, and its equal words.
+    """Start and end in ``text`` of the passage along one diagonal, and its equal words.
 
-    ``item[i]`` lies on ``text[i + shift]``. Equal words count 1, others ``_MISMATCH``.
+    ``item[i]`` lies on ``text[i + shift]``. The whole item is a passage if
+    ``LEAST_SHARE`` of its words are equal. Else it is the best run, where equal words
+    count 1, others ``_MISMATCH``, or, if that has too few equal words, the longest
+    stretch with that share. A passage begins and ends with an equal word.
     """
     low, high = max(0, -shift), min(len(item), len(text) - shift)
     if high <= low:
         return None
     equal = item[low:high] == text[low + shift : high + shift]
-    total = np.concatenate([[0], np.cumsum(np.where(equal, 1, _MISMATCH))])
-    lowest = np.minimum.accumulate(total)
-    end = int(np.argmax(total - lowest))
-    start = int(np.argmin(total[: end + 1]))
-    found = int(equal[start:end].sum())
-    if found < min(LEAST_EQUAL, int(np.ceil(LEAST_SHARE * len(item)))) or found < LEAST_SHARE * (end - start):
+    least = min(LEAST_EQUAL, -(-_PERCENT * len(item) // 100))
+    if int(equal.sum()) < least:
         return None
-    return low + shift + start, low + shift + end, found
+    stretches = [(0, len(equal))] if 100 * int(equal.sum()) >= _PERCENT * len(item) else []
+    for start, end in stretches or (_densest(equal, _MISMATCH), _longest(equal)):
+        inside = start + np.flatnonzero(equal[start:end])
+        if len(inside) < least:
+            continue
+        start, end = int(inside[0]), int(inside[-1]) + 1
+        if 100 * len(inside) >= _PERCENT * (end - start):
+            return low + shift + start, low + shift + end, len(inside)
+    return None
 
 
 _FOUND = T.StructType([T.StructField(n, T.LongType()) for n in ("start_word", "end_word", "equal_words")])
@@ -201,13 +242,14 @@ def contaminated_passages(
     item_seeds = items.select(
         "_item", F.explode(F.arrays_zip("seeds", "at")).alias("s")
     ).select("_item", F.col("s.seeds").alias(seed_name), F.col("s.at").alias("item_at"))
-    size = F.size("words")
-    short = items.where((size >= LEAST_ITEM_WORDS) & (size < SPAN)).select(size.alias("n")).distinct()
-    lengths = sorted(r["n"] for r in short.collect())  # at most SPAN numbers
+    size = F.least(F.size("words"), F.lit(max(FAMILIES)))
+    counted = items.select(size.alias("n")).distinct().collect()  # at most so many numbers
+    sought = {mask for r in counted for mask in family(r["n"])}
+    masks = [mask for mask in MASKS if mask in sought]
     bitmap = spark.sparkContext.broadcast(_bitmap(item_seeds))
     documents = df.select(F.col(f"`{text}`").alias("text"), F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"))
     path = fresh_path(spark, "stretches")
-    map_blocks(documents, _stretches(bitmap, lengths), _STRETCHES).distinct().withColumn(
+    map_blocks(documents, _stretches(bitmap, masks), _STRETCHES).distinct().withColumn(
         "_stretch", F.monotonically_increasing_id()
     ).write.parquet(path)
     stretches = spark.read.parquet(path)

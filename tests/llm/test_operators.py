@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -12,7 +13,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.llm import chunks, dom, jaccard, language, packing, personal, secrets, vocabulary, words
+from millrace.llm import chunks, decontamination, dom, jaccard, language, packing, personal, secrets, vocabulary, words
 from millrace.llm.boosting import BoostedTrees
 from millrace.llm.components import connected_components
 from millrace.llm.decontamination import contaminated_passages, without_contaminated
@@ -546,6 +547,60 @@ def test_benchmark_passages(spark):
     assert contaminated_passages(df, benchmark.limit(0)).count() == 0
 
 
+def replaced(item, at):
+    return np.where(np.isin(np.arange(len(item)), at), item + 1000, item)
+
+
+@pytest.mark.parametrize("n", range(decontamination.LEAST_ITEM_WORDS, 21))
+def test_every_placement_of_replaced_words(n):
+    """Whichever words are replaced, a seed is shared and the alignment is accepted."""
+    item = np.arange(1, n + 1)
+    masks = decontamination.family(n)
+    for at in itertools.combinations(range(n), n // 5):
+        text = np.concatenate([[901, 902], replaced(item, at), [903]])
+        missing = set(at)
+        assert any(
+            not missing & {first + i for i in decontamination._MASK_AT[mask]}
+            for mask in masks for first in range(n - len(mask) + 1)
+        ), at
+        start, end, equal = decontamination.best_alignment(text, item, 2)
+        kept = sorted(set(range(n)) - missing)
+        assert (start, end, equal) == (2 + kept[0], 3 + kept[-1], len(kept))
+    for at in itertools.combinations(range(n), n // 5 + 1):
+        if n < 16:
+            assert decontamination.best_alignment(replaced(item, at), item, 0) is None or n - len(at) >= 12
+
+
+def test_masks_meet_every_long_stretch():
+    """The fewest replaced words that avoid all masks are more than a fifth, at any length."""
+    masks = [int(mask, 2) for mask in decontamination.family(15)]
+    bits = max(m.bit_length() for m in masks)
+    state = np.arange(1 << bits)  # the last words, 1 for a replaced one
+    spared = np.zeros(len(state), bool)
+    for mask in masks:
+        spared |= state & mask == 0
+    # Words before the first count as replaced but cost nothing.
+    fewest = np.full(len(state), 10**6)
+    fewest[-1] = 0
+    for length in range(1, 200):
+        before = np.minimum(fewest[state >> 1], fewest[state >> 1 | 1 << bits - 1])
+        fewest = np.where(spared, 10**6, before + (state & 1))
+        assert length < 15 or fewest.min() > length // 5, length
+
+
+def test_replaced_words_of_short_items(spark):
+    items = [(n, prose(700 + n, n)) for n in range(5, 21)]
+    rows = []
+    for n, text in items:
+        for k, at in enumerate([(), *itertools.islice(itertools.combinations(range(n), n // 5), 3, 400, 37)]):
+            passage = [f"other{i}" if i in at else w for i, w in enumerate(text.split())]
+            rows.append((1000 * n + k, " ".join([prose(n + k, 40), *passage, prose(k, 40)]), "en", "s", 0))
+    rows.append((1, " ".join(w if i not in (2, 12) else "other" for i, w in enumerate(items[10][1].split())), "en", "s", 0))
+    found = contaminated_passages(spark.createDataFrame(rows, DOCUMENTS), spark.createDataFrame(items, "item_id bigint, text string"))
+    got = {(r["doc_id"], r["item_id"]) for r in found.collect()}
+    assert {(r[0], r[0] // 1000) for r in rows[:-1]} | {(1, 15)} <= got
+
+
 # -- pipeline ----------------------------------------------------------------
 
 def test_pipeline_stages(spark, small):
