@@ -351,6 +351,22 @@ def test_quality_rules(spark, documents):
     assert quality_rules(df.limit(0), vocabulary=PIECES).count() == 0
 
 
+def test_texts_of_sparse_kinds_are_judged(spark):
+    """Few of a language or length: the coarser kinds must still tell what is odd."""
+    rows = [(i, prose(i, 60 + 7 * i), "en", "s", 0) for i in range(120)]
+    rows += [(500, prose(500, 12000), "en", "s", 0), (501, prose(501, 300), "rare", "s", 0), (502, prose(502, 300), None, "s", 0)]
+    for number, few, n, lang in [(600, 40, 3000, "en"), (601, 20, 300, "rare"), (602, 20, 300, None)]:
+        text = " ".join(random.Random(number).choices(prose(number, few).split(), k=n))
+        rows.append((number, text, lang, "s", 0))
+    judged = quality_rules(spark.createDataFrame(rows, DOCUMENTS), vocabulary=PIECES)
+    assert "_script" not in judged.columns
+    judged = judged.collect()
+    kept = {r["doc_id"] for r in judged if r["kept"]}
+    assert {500, 501, 502} <= kept and len(kept & {*range(120)}) >= 118
+    odd = [r for r in judged if r["doc_id"] in (600, 601, 602)]
+    assert len(odd) == 3 and not any(r["kept"] or r["base_failed"] or r["byte_share"] > 0.5 for r in odd)
+
+
 # -- 6 -----------------------------------------------------------------------
 
 def all_cuts(word, weight, pieces):
