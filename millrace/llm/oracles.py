@@ -79,3 +79,54 @@ reached AS (
 SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id
 FROM documents d LEFT JOIN sized s ON d.doc_id = s.doc_id
 JOIN (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id) r ON d.doc_id = r.doc_id"""
+
+
+FILTER_INTERACTIONS = """
+WITH listed AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS body,
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words
+  FROM documents),
+failing AS (
+  SELECT doc_id, part,
+         len(words) < 200 AS a,
+         100 * len(list_distinct(words)) < 50 * len(words) AS b,
+         100 * len(regexp_replace(body, '[^A-Z]', '', 'g')) > 2 * len(body) AS c,
+         regexp_matches(body, '[#$%&*|]') AS d,
+         coalesce(doc_id > min(doc_id) OVER (PARTITION BY body), FALSE) AS e
+  FROM listed),
+judged AS (
+  SELECT part, a, b, c, d, e,
+         EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = f.doc_id AND quality = 1) AS good,
+         EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = f.doc_id AND toxic = 1) AS toxic
+  FROM failing f),
+cells AS (
+  SELECT part, concat_ws('', CASE WHEN a THEN 'A' END, CASE WHEN b THEN 'B' END, CASE WHEN c THEN 'C' END,
+                         CASE WHEN d THEN 'D' END, CASE WHEN e THEN 'E' END) AS fails,
+         count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM judged GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+  SELECT p.x || q.x || r.x || s.x || t.x AS filter_order
+  FROM letters p, letters q, letters r, letters s, letters t
+  WHERE len(list_distinct([p.x, q.x, r.x, s.x, t.x])) = 5),
+places AS (
+  SELECT filter_order, step::INTEGER AS step, filter_order[step] AS letter,
+         filter_order[:step - 1] AS before
+  FROM orders, range(1, 6) AS steps(step)),
+met AS (
+  SELECT part, filter_order, step, letter, n, good, toxic, fails = letter AS alone,
+         contains(fails, letter) AS hit,
+         fails <> '' AND before <> '' AND regexp_matches(fails, '[' || before || '0]') AS gone
+  FROM places, cells),
+counted AS (
+  SELECT part, filter_order, step, letter,
+         coalesce(sum(n) FILTER (NOT hit AND NOT gone), 0)::BIGINT AS kept,
+         coalesce(sum(n) FILTER (hit AND NOT gone), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER (hit AND gone), 0)::BIGINT AS redundant,
+         coalesce(sum(n) FILTER (alone), 0)::BIGINT AS unique_fails,
+         coalesce(sum(good) FILTER (hit AND NOT gone), 0)::BIGINT AS good_lost,
+         coalesce(sum(toxic) FILTER (hit AND NOT gone), 0)::BIGINT AS toxic_lost
+  FROM met GROUP BY ALL)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley
+FROM counted"""

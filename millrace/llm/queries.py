@@ -11,6 +11,7 @@ from millrace.llm import oracles
 from millrace.llm.chunks import repeated_passages
 from millrace.llm.decontamination import contaminated_passages
 from millrace.llm.extraction import main_text
+from millrace.llm.interactions import filter_interactions
 from millrace.llm.jaccard import similar_groups
 from millrace.llm.language import identify_language
 from millrace.llm.packing import pack_documents
@@ -27,6 +28,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {
     "op3_sharding": oracles.SHARDING,
     "op4_ngram_jaccard_join": oracles.NGRAM_JACCARD,
+    "op13_filter_interactions": oracles.FILTER_INTERACTIONS,
 }
 
 
@@ -87,3 +89,8 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return contaminated_passages(
         table(spark, folder, "documents"), table(spark, folder, "benchmark")
     )
+
+
+@register
+def op13_filter_interactions(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_interactions(table(spark, folder, "documents"), table(spark, folder, "labels"))
