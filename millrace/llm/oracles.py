@@ -130,3 +130,86 @@ counted AS (
 SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
        (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley
 FROM counted"""
+
+
+# A way through the pattern is a text: its cost in ten digits, then its edits, so that the
+# least text is the cheapest way and the ASCII-least among equals; a tilde is no way at
+# all. Ways are listed by state: nothing yet, system row, user row, assistant row.
+def _dearer(way: str, more: str, edits: str) -> str:
+    cost = f"lpad((left({way}, 10)::BIGINT + {more})::VARCHAR, 10, '0')"
+    return f"CASE WHEN {way} = '~' THEN '~' ELSE {cost} || substr({way}, 11) || '{edits}' END"
+
+
+_INSERTED = f"""[way[1], way[2],
+  least(way[3], {_dearer("way[1]", "3", "I")}, {_dearer("way[2]", "3", "I")}, {_dearer("way[4]", "3", "I")}),
+  least(way[4], {_dearer("way[1]", "6", "II")}, {_dearer("way[2]", "6", "II")}, {_dearer("way[3]", "3", "I")})]"""
+
+
+def _ways_to(state: int, role: str, before: list[int]) -> str:
+    """The least way to a state over one row: deleted there, or kept or given its role."""
+    ways = [_dearer(f"o[{state}]", "4", "D")]
+    for i in before:
+        kept = _dearer(f"o[{i}]", "more", "K")
+        ways.append(f"CASE WHEN stays AND initial = '{role}' THEN {kept} ELSE '~' END")
+        if role != "s":
+            ways.append(f"CASE WHEN stays THEN {_dearer(f'o[{i}]', '3 + more', 'R')} ELSE '~' END")
+    return f"least({', '.join(ways)}, '~')"
+
+
+CONVERSATION_REPAIR = f"""
+WITH RECURSIVE drawn AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {_crc32("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS kind
+  FROM conversations),
+spoiled AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM drawn, range(2) AS copies(copy) WHERE kind <> 0 AND (copy = 0 OR kind = 3)),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS nth
+  FROM spoiled),
+marked AS (
+  SELECT *, left(role, 1) AS initial,
+         NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') AS blank,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY nth) > 1 AS again,
+         NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*$') AS cut,
+         lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY nth) AS before
+  FROM placed),
+counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+         count(*) FILTER (blank) AS blank, count(*) FILTER (again AND NOT blank) AS duplicate,
+         count(*) FILTER (cut AND NOT blank AND NOT again) AS truncated,
+         count(*) FILTER (before || initial NOT IN ('su', 'ua', 'au')) AS illegal, max(nth) AS n
+  FROM marked GROUP BY conv_id),
+ways AS (
+  SELECT conv_id, 0::BIGINT AS nth, ['0000000000', '~', '~', '~'] AS way FROM counted
+  UNION ALL
+  SELECT conv_id, nth,
+         [{_ways_to(1, "-", [])}, {_ways_to(2, "s", [1])}, {_ways_to(3, "u", [1, 2, 4])}, {_ways_to(4, "a", [3])}]
+  FROM (SELECT w.conv_id, m.nth, m.initial, NOT (m.blank OR m.again) AS stays,
+               CASE WHEN m.cut THEN 3 ELSE 0 END AS more, {_INSERTED} AS o
+        FROM ways w JOIN marked m ON w.conv_id IS NOT DISTINCT FROM m.conv_id AND m.nth = w.nth + 1)),
+ended AS (
+  SELECT c.*, {_INSERTED} AS o
+  FROM counted c JOIN ways w ON w.conv_id IS NOT DISTINCT FROM c.conv_id AND w.nth = c.n),
+best AS (SELECT *, left(least(o[1], o[4]), 10)::BIGINT AS cost, substr(least(o[1], o[4]), 11) AS audit FROM ended),
+edits AS (
+  SELECT conv_id, audit, i, audit[i] AS edit,
+         len(translate(audit[:i], 'I', '')) AS nth,
+         len(translate(audit[:i], 'D', '')) - 1 - len(translate(audit, 'D', '')) % 2 AS place
+  FROM best, LATERAL (SELECT unnest(range(1, len(audit) + 1)) AS i)),
+lines AS (
+  SELECT e.conv_id, i,
+         CASE WHEN edit = 'K' THEN p.role WHEN place % 2 = 0 THEN 'user' ELSE 'assistant' END
+         || ':' || CASE WHEN edit = 'I' THEN '' ELSE p.text END AS line
+  FROM edits e LEFT JOIN placed p
+    ON e.edit <> 'I' AND p.conv_id IS NOT DISTINCT FROM e.conv_id AND p.nth = e.nth
+  WHERE edit <> 'D'),
+hashed AS (SELECT conv_id, sha256(string_agg(line, chr(10) ORDER BY i)) AS repaired_sha256 FROM lines GROUP BY conv_id)
+SELECT a.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+       coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+       coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost,
+       coalesce(audit, '') AS audit, coalesce(repaired_sha256, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a
+LEFT JOIN best b ON a.conv_id IS NOT DISTINCT FROM b.conv_id
+LEFT JOIN hashed h ON a.conv_id IS NOT DISTINCT FROM h.conv_id"""

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm import oracles
 from millrace.llm.chunks import repeated_passages
+from millrace.llm.conversations import repair_conversations
 from millrace.llm.decontamination import contaminated_passages
 from millrace.llm.extraction import main_text
 from millrace.llm.interactions import filter_interactions
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {
     "op3_sharding": oracles.SHARDING,
     "op4_ngram_jaccard_join": oracles.NGRAM_JACCARD,
+    "op11_conversation_repair": oracles.CONVERSATION_REPAIR,
     "op13_filter_interactions": oracles.FILTER_INTERACTIONS,
 }
 
@@ -91,6 +93,11 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@register
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return repair_conversations(table(spark, folder, "conversations"))
+
+
 @register
 def op13_filter_interactions(spark: SparkSession, folder: str) -> DataFrame:
     return filter_interactions(table(spark, folder, "documents"), table(spark, folder, "labels"))
