@@ -20,6 +20,7 @@ from millrace.llm.personal import find_personal_data
 from millrace.llm.quality import quality_rules
 from millrace.llm.secrets import find_secrets
 from millrace.llm.sharding import feistel_shards
+from millrace.llm.toxicity import score_toxicity
 from millrace.sources.files import table
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -98,6 +99,13 @@ def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     return repair_conversations(table(spark, folder, "conversations"))
 
 
+@register
+def op12_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return score_toxicity(
+        table(spark, folder, "documents"), table(spark, folder, "labels"), keep=["doc_id"]
+    )
+
+
 @register
 def op13_filter_interactions(spark: SparkSession, folder: str) -> DataFrame:
     return filter_interactions(table(spark, folder, "documents"), table(spark, folder, "labels"))
