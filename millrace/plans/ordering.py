@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.functions.exact import exact
+from millrace.operators.scans import group_ranks
 from millrace.operators.windows import nth_in_group, window_max as max_over_group
 from millrace.plans.joining import skewed_events
 from millrace.plans.registry import query
@@ -50,6 +52,53 @@ def window_sql(spark: SparkSession, folder: str) -> DataFrame:
     return lines.withColumn("rn", F.expr(number)).where("rn = 2")
 
 
+_RANKED_SQL = """SELECT event_id, kind, value,
+         row_number() OVER (w ORDER BY value DESC, event_id) AS row_number,
+         rank() OVER (w ORDER BY value DESC) AS rank,
+         dense_rank() OVER (w ORDER BY value DESC) AS dense_rank,
+         count(*) OVER w AS group_rows,
+         percent_rank() OVER (w ORDER BY value DESC) AS percent_rank,
+         CAST(sum(CAST(value AS DECIMAL(18,2))) OVER (w ORDER BY value DESC, event_id
+              ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS running_value
+       FROM {events} WINDOW w AS (PARTITION BY kind)"""
+
+
+def _ranked(events: DataFrame) -> DataFrame:
+    ranked = group_ranks(
+        events, ["kind"], ["-value"], row_key=["event_id"], running={"running_value": exact("value")}
+    )
+    share = F.when(F.col("group_rows") == 1, 0.0).otherwise(
+        (F.col("rank") - 1).cast("double") / (F.col("group_rows") - 1)
+    )
+    return ranked.withColumns(
+        {"percent_rank": share, "running_value": F.col("running_value").cast("double")}
+    )
+
+
+@query(
+    _RANKED_SQL.format(
+        events="""(SELECT event_id, value, CASE WHEN event_type = 'click' THEN 'click'
+                                                ELSE 'other' END AS kind FROM events)"""
+    )
+)
+def window_ranks(spark: SparkSession, folder: str) -> DataFrame:
+    """All ranks and a running sum of whole groups, one of which has most of the rows."""
+    events, _ = skewed_events(spark, folder)
+    return _ranked(events)
+
+
+@query(
+    _RANKED_SQL.format(
+        events="(SELECT event_id, event_type AS kind, floor(value / 10) AS value FROM events)"
+    )
+)
+def window_ties(spark: SparkSession, folder: str) -> DataFrame:
+    """The same by event type and tens, where many rows share an order value."""
+    tens = F.floor(F.col("value") / 10).cast("double").alias("value")
+    events = table(spark, folder, "events")
+    return _ranked(events.select("event_id", F.col("event_type").alias("kind"), tens))
+
+
 @query("SELECT * FROM supplier ORDER BY s_acctbal, s_suppkey")
 def sort_asc(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "supplier").orderBy(F.col("s_acctbal").asc(), "s_suppkey")
