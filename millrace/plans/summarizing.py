@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.exact import exact, exact_avg, exact_sum
+from millrace.functions.exact import binned_sums, exact, exact_avg, exact_sum
 from millrace.operators import aggregates
 from millrace.plans.projecting import with_status
 from millrace.plans.registry import query
@@ -46,6 +46,24 @@ def agg_avg(spark: SparkSession, folder: str) -> DataFrame:
     return orders.groupBy("o_orderpriority").agg(exact_avg("o_totalprice").alias("avg_price"))
 
 
+@query(
+    """WITH charged AS (SELECT l_suppkey, l_extendedprice * (1 - l_discount) * (1 + l_tax) AS charge
+                        FROM lineitem),
+            summed AS (SELECT l_suppkey, COUNT(charge) AS n_charges,
+                              CAST(CAST(SUM(CAST(charge * 4503599627370496 AS HUGEINT)) AS VARCHAR) AS DOUBLE)
+                              / 4503599627370496 AS total
+                       FROM charged GROUP BY l_suppkey)
+       SELECT l_suppkey, total, n_charges, total / n_charges AS mean FROM summed"""
+)
+def agg_sum_any(spark: SparkSession, folder: str) -> DataFrame:
+    """Sums of products, which have as many decimals as a double can hold."""
+    lines = table(spark, folder, "lineitem")
+    charge = F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))
+    charged = lines.select("l_suppkey", charge.alias("charge"))
+    sums = binned_sums(charged, ["l_suppkey"], "charge", "total", "n_charges")
+    return sums.withColumn("mean", F.col("total") / F.col("n_charges"))
+
+
 @query(
     f"""SELECT o_custkey, {_AVG_SQL} AS avg_price FROM orders
         GROUP BY o_custkey HAVING {_AVG_SQL} > 250000"""
