@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from millrace.plans.reading import CUSTOMER_DDL, ORDERS_DDL, PART_DDL
 from millrace.plans.registry import query
 from millrace.scratch import fresh_path
+from millrace.sinks import versions
 from millrace.sinks.files import (
     CODECS,
     stamp,
@@ -21,6 +22,7 @@ from millrace.sinks.files import (
 from millrace.sources.files import read_csv, table
 
 RUN_TIME = datetime(2024, 5, 17, 8, 30, 0)
+ZONE_FILES = 16
 SEGMENTS = ("Building", "machinery", "FURNITURE", "household")
 
 
@@ -118,3 +120,59 @@ def lake_table_prune(spark: SparkSession, folder: str) -> DataFrame:
     write_parquet(table(spark, folder, "customer"), path, partition_by=["c_mktsegment"])
     stored = spark.read.schema(CUSTOMER_DDL).parquet(path)
     return stored.where("c_mktsegment = 'BUILDING' AND c_acctbal > 5000")
+
+
+_CHANGED_SQL = """SELECT o_orderkey, o_custkey, o_orderstatus,
+         CASE WHEN o_orderkey % 7 = 0 THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice,
+         CASE WHEN o_orderkey % 7 = 0 THEN o_orderdate + INTERVAL 3 YEAR ELSE o_orderdate END AS o_orderdate,
+         o_orderpriority FROM orders"""
+
+
+@query(_CHANGED_SQL)
+def incremental_merge(spark: SparkSession, folder: str) -> DataFrame:
+    """Four pulls by high-water mark: the orders to 1996, all orders, and twice what changed since."""
+    orders = table(spark, folder, "orders")
+    changes = F.col("o_orderkey") % 7 == 0
+    later = orders.withColumns(
+        {
+            "o_totalprice": F.when(changes, F.col("o_totalprice") * 2).otherwise(F.col("o_totalprice")),
+            "o_orderdate": F.when(changes, F.expr("o_orderdate + INTERVAL 3 YEARS")).otherwise(F.col("o_orderdate")),
+        }
+    )
+    root = fresh_path(spark, "orders-by-increments")
+    for now in (orders.where("o_orderdate < TIMESTAMP_NTZ'1996-01-01'"), orders, later, later):
+
+        def source(since: datetime | None, now: DataFrame = now) -> DataFrame:
+            return now if since is None else now.where(F.col("o_orderdate") > F.lit(since).cast("timestamp_ntz"))
+
+        at = versions.pull(spark, root, source, ["o_orderkey"], "o_orderdate", overlap=timedelta(days=365 * 4))
+    return versions.read(spark, at)
+
+
+@query(
+    """SELECT reader, orders.* FROM orders CROSS JOIN (VALUES ('before'), ('after')) AS r(reader)"""
+)
+def lake_rewrite(spark: SparkSession, folder: str) -> DataFrame:
+    """A partition clustered in place, for a reader that came before and one that came after."""
+    root = fresh_path(spark, "versioned")
+    orders = table(spark, folder, "orders")
+    before = versions.create(orders, root, ["o_orderstatus", "o_custkey"], cluster_by=["o_orderstatus"])
+    old = versions.read(spark, before)
+    after = versions.rewrite(spark, root, {"o_orderstatus": ("F", "F")}, ["o_custkey"])
+    new = versions.read(spark, after)
+    return old.select(F.lit("before").alias("reader"), "*").union(new.select(F.lit("after").alias("reader"), "*"))
+
+
+@query(
+    """SELECT *, TRUE AS few_files FROM lineitem
+       WHERE l_partkey BETWEEN 100 AND 120 AND l_suppkey <= 40"""
+)
+def zone_map_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Only files whose ranges of both columns meet the wanted ones are opened."""
+    root = fresh_path(spark, "zoned")
+    lines = table(spark, folder, "lineitem")
+    at = versions.create(lines, root, ["l_partkey", "l_suppkey"], files=ZONE_FILES)
+    wanted = {"l_partkey": (100, 120), "l_suppkey": (None, 40)}
+    rows = versions.read(spark, at, wanted)
+    few = len(rows.inputFiles()) < versions.manifest(spark, at).count()
+    return rows.withColumn("few_files", F.lit(few))
