@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.exact import exact, exact_sum
+from millrace.operators.filtered import band_join, filtered_join
 from millrace.operators.joins import (
     add_all_salts,
     bucketed_join as join_buckets,
@@ -252,3 +253,48 @@ def dict_lookup(spark: SparkSession, folder: str) -> DataFrame:
     customer = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
     names = table(spark, folder, "nation").where("n_regionkey <> 0").select("n_nationkey", "n_name")
     return lookup(customer, "c_nationkey", names, "n_nationkey")
+
+
+LINE_KEY = ("l_orderkey", "l_linenumber")
+
+
+@query(
+    """SELECT l_orderkey, l_linenumber, l_extendedprice, o_orderkey, o_totalprice
+       FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_totalprice > 400000"""
+)
+def join_bloom(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of the dearest orders; other lines are left out before the shuffle."""
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    orders = table(spark, folder, "orders").where("o_totalprice > 400000").select("o_orderkey", "o_totalprice")
+    return filtered_join(lines, orders, ["l_orderkey"], ["o_orderkey"], row_key=LINE_KEY, limit=0)
+
+
+@query(
+    """SELECT l_orderkey, l_linenumber, o_orderkey, o_totalprice FROM lineitem
+       LEFT JOIN (SELECT * FROM orders WHERE o_totalprice > 400000) ON l_orderkey = o_orderkey"""
+)
+def join_bloom_left(spark: SparkSession, folder: str) -> DataFrame:
+    """All lines, with the order if it is one of the dearest."""
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber")
+    orders = table(spark, folder, "orders").where("o_totalprice > 400000").select("o_orderkey", "o_totalprice")
+    return filtered_join(lines, orders, ["l_orderkey"], ["o_orderkey"], "left", row_key=LINE_KEY, limit=0)
+
+
+@query(
+    """SELECT a.o_custkey AS custkey, a.o_orderkey AS orderkey, b.o_orderkey AS later_orderkey,
+              CAST(date_diff('day', CAST(a.o_orderdate AS DATE), CAST(b.o_orderdate AS DATE)) AS INTEGER) AS days
+       FROM orders a JOIN orders b ON a.o_custkey = b.o_custkey
+       WHERE date_diff('day', CAST(a.o_orderdate AS DATE), CAST(b.o_orderdate AS DATE)) BETWEEN 1 AND 30"""
+)
+def join_band(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders of a customer with those that followed within 30 days."""
+    orders = table(spark, folder, "orders")
+    day = F.unix_date(F.col("o_orderdate").cast("date"))
+    one = orders.select(F.col("o_custkey").alias("custkey"), F.col("o_orderkey").alias("orderkey"), day.alias("day"))
+    other = orders.select(
+        F.col("o_custkey").alias("later_custkey"),
+        F.col("o_orderkey").alias("later_orderkey"),
+        day.alias("later_day"),
+    )
+    pairs = band_join(one, other, ["custkey"], ["later_custkey"], "day", "later_day", 30)
+    return pairs.select("custkey", "orderkey", "later_orderkey", (F.col("later_day") - F.col("day")).alias("days"))

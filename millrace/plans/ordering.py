@@ -6,14 +6,16 @@ keys, so a value shared by many rows would otherwise fill one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.exact import exact
+from millrace.operators import sorting
 from millrace.operators.scans import group_ranks
 from millrace.operators.windows import nth_in_group, window_max as max_over_group
 from millrace.plans.joining import skewed_events
 from millrace.plans.registry import query
+from millrace.scratch import fresh_path
 from millrace.sources.files import table
 
 
@@ -110,6 +112,35 @@ def sort_multi(spark: SparkSession, folder: str) -> DataFrame:
     return customer.orderBy("c_mktsegment", F.col("c_acctbal").desc(), "c_custkey")
 
 
+@query(
+    """SELECT l_returnflag, COUNT(*) AS n_rows, TRUE AS files_in_order, TRUE AS in_order, TRUE AS balanced
+       FROM lineitem GROUP BY l_returnflag"""
+)
+def sort_hot(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines sorted by a column of three values, written, and what their files look like.
+
+    ``files_in_order``: no file holds a value below one of the files before it.
+    ``in_order``: within a file equal values follow each other, in order.
+    ``balanced``: no file has more than twice the rows of an even share.
+    """
+    path = fresh_path(spark, "sorted")
+    lines = table(spark, folder, "lineitem")
+    sorting.write_sorted(lines, ["l_returnflag"], path)
+    runs = sorting.runs_in_files(spark.read.schema(lines.schema).parquet(path), "l_returnflag")
+    # One row per file.
+    files = sorting.file_facts(runs)
+    by_name = Window.orderBy("file_name")
+    files = files.withColumn("before", F.lag("max_value").over(by_name))
+    facts = files.agg(
+        F.bool_and(F.coalesce(F.col("before") <= F.col("min_value"), F.lit(True))).alias("files_in_order"),
+        F.bool_and("in_order").alias("in_order"),
+        (F.max("n_rows") * F.count(F.lit(1)) <= 2 * F.sum("n_rows")).alias("balanced"),
+    )
+    values = runs.groupBy(F.col("value").alias("l_returnflag")).agg(F.sum("n_rows").alias("n_rows"))
+    # One row, by construction.
+    return values.join(F.broadcast(facts))
+
+
 @query("SELECT * FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 10")
 def top_k(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders")

@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from millrace.functions.exact import MONEY
 from millrace.operators.aggregates import rows_and_values
+from millrace.operators.joins import keyed_join
 from millrace.plans.registry import query
 from millrace.scratch import fresh_name, fresh_path
-from millrace.sources.files import read_csv, read_nested_folders, table
+from millrace.sinks.files import write_parquet
+from millrace.sources.files import footer_facts, read_csv, read_nested_folders, table, with_source_file
 from millrace.sources.inline import inline_rows, steps_between
 
 _STATUS_ROWS = [("F", "finished"), ("O", "open")]
@@ -176,6 +178,36 @@ def table_scan(spark: SparkSession, folder: str) -> DataFrame:
     return stored
 
 
+@query(
+    """SELECT o_orderkey, 'o_orderstatus=' || o_orderstatus AS folder, TRUE AS named,
+              COUNT(*) OVER (PARTITION BY o_orderstatus) AS folder_rows
+       FROM orders"""
+)
+def source_file(spark: SparkSession, folder: str) -> DataFrame:
+    """The file of every row, of which the folder is known beforehand, and the rows per folder.
+
+    ``named``: the file's name is one that the writer gives. Rows are counted by file, map-side,
+    and the counts of a folder's few files added up.
+    """
+    path = fresh_path(spark, "by-status")
+    write_parquet(table(spark, folder, "orders"), path, partition_by=["o_orderstatus"])
+    stored = spark.read.schema(ORDERS_DDL).parquet(path)
+    rows = with_source_file(stored, "file").select(
+        "o_orderkey", F.element_at(F.split("file", "/"), -2).alias("folder"), "file"
+    )
+    counts = rows.groupBy("folder", "file").agg(F.count(F.lit(1)).alias("n"))
+    sums = counts.groupBy(F.col("folder").alias("of_folder")).agg(F.sum("n").alias("folder_rows"))
+    joined = keyed_join(rows, sums, ["folder"], ["of_folder"], "left", row_key=["o_orderkey"])
+    named = F.col("file").rlike(r"/part-[^/]+\.parquet$").alias("named")
+    return joined.select("o_orderkey", "folder", named, "folder_rows")
+
+
+@query("SELECT COUNT(*) AS n_rows, MIN(l_orderkey) AS first_key, MAX(l_orderkey) AS last_key FROM lineitem")
+def footer_count(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts and ends of a column from the files' footers; no row is read."""
+    return footer_facts(spark, f"{folder}/lineitem.parquet", "l_orderkey", "n_rows", "first_key", "last_key")
+
+
 @query("SELECT COUNT(*) AS n_rows, COUNT(l_orderkey) AS n_l_orderkey FROM lineitem")
 def row_count(spark: SparkSession, folder: str) -> DataFrame:
     return rows_and_values(table(spark, folder, "lineitem"), ["l_orderkey"])

@@ -8,9 +8,12 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.jobs import analyze
 from millrace.plans.reading import CUSTOMER_DDL, ORDERS_DDL, PART_DDL
+from millrace.operators.concurrent import run_together
+from millrace.operators.relations import sql_over
 from millrace.plans.registry import query
-from millrace.scratch import fresh_path
+from millrace.scratch import fresh_name, fresh_path
 from millrace.sinks import versions
 from millrace.sinks.files import (
     CODECS,
@@ -176,3 +179,52 @@ def zone_map_scan(spark: SparkSession, folder: str) -> DataFrame:
     rows = versions.read(spark, at, wanted)
     few = len(rows.inputFiles()) < versions.manifest(spark, at).count()
     return rows.withColumn("few_files", F.lit(few))
+
+
+@query(
+    """SELECT 'result' AS report, o_orderstatus AS value, COUNT(*) AS n_rows FROM orders
+       WHERE o_totalprice > 100000 GROUP BY o_orderstatus
+       UNION ALL SELECT 'values', o_orderpriority, COUNT(*) FROM orders GROUP BY o_orderpriority"""
+)
+def saved_analysis(spark: SparkSession, folder: str) -> DataFrame:
+    """The result of a query and the frequencies of a column, both saved and read back."""
+    path = fresh_path(spark, "analysis")
+    result, values = analyze(
+        spark, f"{folder}/orders.parquet", "orders_to_analyze",
+        "SELECT o_orderstatus AS value, COUNT(*) AS n_rows FROM orders_to_analyze "
+        "WHERE o_totalprice > 100000 GROUP BY o_orderstatus",
+        column="o_orderpriority", save_to=path,
+    )
+    label = F.lit("result").alias("report")
+    frequencies = values.select(F.lit("values").alias("report"), F.col("o_orderpriority").alias("value"), "n_rows")
+    return result.select(label, "value", "n_rows").union(frequencies)
+
+
+_EXTRACTS = {
+    "rich": ("customer", "SELECT c_custkey AS key, c_name AS label FROM {t} WHERE c_acctbal > 5000"),
+    "urgent": ("orders", "SELECT o_orderkey AS key, o_orderstatus AS label FROM {t} WHERE o_orderpriority = '1-URGENT'"),
+    "large": ("part", "SELECT p_partkey AS key, p_brand AS label FROM {t} WHERE p_size > 40"),
+    "returned": ("lineitem", "SELECT l_orderkey AS key, l_linestatus AS label FROM {t} WHERE l_returnflag = 'R'"),
+}
+
+
+@query(
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS extract, * FROM ({text.format(t=source)})" for name, (source, text) in _EXTRACTS.items()
+    )
+)
+def concurrent_extracts(spark: SparkSession, folder: str) -> DataFrame:
+    """Four different extracts of four tables, written at the same time."""
+    root = fresh_path(spark, "concurrent")
+    views = {name: fresh_name(source) for name, (source, _) in _EXTRACTS.items()}
+    frames = {
+        name: sql_over(spark, text.format(t=views[name]), **{views[name]: table(spark, folder, source)})
+        for name, (source, text) in _EXTRACTS.items()
+    }
+    run_together(
+        spark, {name: lambda df=df, name=name: write_parquet(df, f"{root}/{name}") for name, df in frames.items()}
+    )
+    return reduce(
+        DataFrame.union,
+        [spark.read.parquet(f"{root}/{name}").select(F.lit(name).alias("extract"), "*") for name in _EXTRACTS],
+    )
