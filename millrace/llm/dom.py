@@ -10,6 +10,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style noscript template iframe object svg canvas textarea select title head".split())
@@ -27,13 +28,14 @@ _ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd
          "option": ({"option"}, {"select"})}
 _P_STOPS = frozenset("table td th button object".split())
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s>/]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.DOTALL
-)
-_NAMED = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.IGNORECASE)
+_NAME = re.compile(r"[a-zA-Z][^\s>/]*")
+_ATTRIBUTE = re.compile(r"[\s/]*([^\s/>=][^\s/>=]*|=[^\s/>=]*)(\s*=\s*)?")
+_UNQUOTED = re.compile(r"[^\s>]*")
+_NO_DISPLAY = re.compile(r"display\s*:\s*none", re.IGNORECASE)
 _WORD = re.compile(r"[a-z]+")
 
+_NAMED = frozenset(("class", "id", "role"))
+
 #: Words in class, id and role attributes, by what they usually name.
 TOPICS = {
     "menu": "nav navbar navigation menu breadcrumb breadcrumbs topbar toolbar pagination pager tabs toc",
@@ -59,15 +61,15 @@ class Node:
 
     __slots__ = ("children", "linked", "parent", "parts", "tag", "topics")
 
-    def __init__(self, tag: str, attributes: str, parent: Node | None) -> None:
+    def __init__(self, tag: str, attributes: dict[str, str], parent: Node | None) -> None:
         self.tag = tag
         self.parent = parent
         self.parts: list[str | Node] = []
         self.children: list[Node] = []
         self.linked = 0
         self.topics = 0
-        for m in _NAMED.finditer(attributes):
-            for word in _WORD.findall((m[1] or m[2] or m[3] or "").lower()):
+        for name in _NAMED & attributes.keys():
+            for word in _WORD.findall(attributes[name].lower()):
                 topic = _TOPIC_OF.get(word)
                 if topic is not None:
                     self.topics |= 1 << topic
@@ -76,87 +78,190 @@ class Node:
             parent.children.append(self)
 
 
+class _Tags:
+    """Reads tags in one pass over a page: what is looked at once is not looked at again.
+
+    Quotes enclose values only right behind an equals sign. A tag that does not end, as a
+    quote stays open, ends at its first ``>`` after all, and then so do all behind it.
+    Without any ``>`` ahead there are no more tags.
+    """
+
+    def __init__(self, source: str) -> None:
+        self.source = source
+        self.last = source.rfind(">")
+        self.last_quote = {quote: source.rfind(quote) for quote in "\"'"}
+        self.quotes = True
+
+    def tag(self, at: int) -> tuple[dict[str, str], int, bool]:
+        """Attributes of the tag whose name ends at ``at``, where it ends, whether it closes itself.
+
+        There must be a ``>`` at or behind ``at``.
+        """
+        start, source, found = at, self.source, {}
+        if source[at] == ">":
+            return found, at + 1, False
+        while True:
+            m = _ATTRIBUTE.match(source, at)
+            if m is None:
+                end = source.find(">", at)
+                if end < 0:
+                    break
+                return found, end + 1, source[end - 1] == "/"
+            name, at, value = m[1].lower(), m.end(), ""
+            if m[2]:
+                quote = source[at : at + 1]
+                if self.quotes and quote in ("\"", "'") and self.last_quote[quote] > at:
+                    end = source.index(quote, at + 1)
+                    value, at = source[at + 1 : end], end + 1
+                else:
+                    value = _UNQUOTED.match(source, at)[0]
+                    at += len(value)
+                    value = value.strip("\"'")
+            found.setdefault(name, html.unescape(value) if "&" in value else value)
+        self.quotes = False
+        return self.tag(start)
+
+    def end(self, at: int) -> int:
+        """Behind the next ``>``."""
+        return self.source.index(">", at) + 1
+
+
+def _hidden(attributes: dict[str, str]) -> bool:
+    """Whether an element is never shown: by ``hidden``, ``aria-hidden`` or its own style."""
+    return (
+        "hidden" in attributes
+        or attributes.get("aria-hidden", "").strip().lower() == "true"
+        or bool(_NO_DISPLAY.search(attributes.get("style", "")))
+    )
+
+
+class _Open:
+    """The open elements from the root down, and where those of each name stand."""
+
+    def __init__(self, root: Node) -> None:
+        self.path = [root]
+        self.places: dict[str, list[int]] = {}
+
+    @property
+    def node(self) -> Node:
+        return self.path[-1]
+
+    def push(self, node: Node) -> None:
+        self.places.setdefault(node.tag, []).append(len(self.path))
+        self.path.append(node)
+
+    def cut(self, place: int) -> None:
+        """Close the element at ``place`` and all in it."""
+        while len(self.path) > place:
+            self.places[self.path.pop().tag].pop()
+
+    def innermost(self, names) -> int:
+        """Where the innermost open element with one of ``names`` stands; 0: there is none."""
+        return max((self.places[n][-1] for n in names if self.places.get(n)), default=0)
+
+
 def parse(source: str) -> Node:
-    """The tree of a page; unclosed, misplaced and broken tags are made the best of."""
-    root = Node("html", "", None)
-    node, links, at, size = root, 0, 0, len(source)
-    skip_to: str | None = None
+    """The tree of a page; unclosed, misplaced and broken tags are made the best of.
+
+    Time grows as the length of the page, whatever it holds.
+    """
+    root = Node("html", {}, None)
+    tags, opened = _Tags(source), _Open(root)
+    links, at, size, body, headless = 0, 0, len(source), False, False
 
     def add(text: str) -> None:
         if text:
             if "&" in text:
                 text = html.unescape(text)
-            if node.parts and isinstance(node.parts[-1], str):
-                node.parts[-1] += text
+            parts = opened.node.parts
+            if parts and isinstance(parts[-1], list):
+                parts[-1].append(text)
             else:
-                node.parts.append(text)
+                parts.append([text])
             if links:
-                node.linked += len(text)
+                opened.node.linked += len(text)
 
     while at < size:
-        m = _TOKEN.search(source, at)
-        if m is None:
+        start = source.find("<", at)
+        comment = start >= 0 and source.startswith("<!--", start)
+        if start < 0 or (start > tags.last and not comment):
             add(source[at:])
             break
-        add(source[at : m.start()])
-        at = m.end()
-        name = m[2]
-        if name is None:
+        add(source[at:start])
+        at = start + 1
+        if comment:
+            end = source.find("-->", at + 1)
+            at = size if end < 0 else end + 3
             continue
-        name = name.lower()
-        if m[1]:
+        sign = source[at]
+        if sign in "!?":
+            at = tags.end(at)
+            continue
+        m = _NAME.match(source, at + (sign == "/"))
+        if m is None:
+            add("<")
+            continue
+        name = m[0].lower()
+        attributes, at, empty = tags.tag(m.end())
+        if sign == "/":
             if name in _INLINE:
                 links -= name == "a" and links > 0
             elif name not in _VOID:
-                up = node
-                while up is not None and up.tag != name:
-                    up = up.parent
-                if up is not None and up.parent is not None:
-                    node = up.parent
+                if place := opened.innermost((name,)):
+                    opened.cut(place)
                 elif name == "p":
                     add(" ")
             continue
         if name in _VOID:
             add(" ")
             continue
-        if name in _RAW or _HIDDEN.search(m[3]):
-            if m[3].endswith("/"):
+        if name in _RAW or _hidden(attributes):
+            if empty:
                 continue
-            skip_to = name
-            at = _behind(source, at, skip_to)
+            if name != "head":
+                at = _behind(source, at, name)
+            elif not headless:  # its end tag may be missing
+                end = _HEAD_END.search(source, at)
+                at, headless = (at, True) if end is None else (end.end(), False)
             add(" ")
             continue
         if name in _INLINE:
             links += name == "a"
             continue
-        if name == "html" or (name == "body" and node is root and not any(c.tag == "body" for c in root.children)):
-            if name == "body":
-                node = Node("body", m[3], root)
+        if name == "html":
+            continue
+        if name == "body" and opened.node is root and not body:
+            body = True
+            opened.push(Node("body", attributes, root))
             continue
         links = 0
-        ends, stops = ({"p"}, _P_STOPS) if name in _CLOSES_P else _ENDS.get(name, ((), ()))
-        up = node
-        while ends and up.parent is not None and up.tag not in stops:
-            if up.tag in ends:
-                node = up.parent
-                break
-            up = up.parent
-        node = Node(name, m[3], node)
+        ends, stops = (("p",), _P_STOPS) if name in _CLOSES_P else _ENDS.get(name, ((), ()))
+        place = opened.innermost(ends)
+        if place > opened.innermost(stops):
+            opened.cut(place)
+        opened.push(Node(name, attributes, opened.node))
+    for node in flatten(root):
+        node.parts = ["".join(p) if isinstance(p, list) else p for p in node.parts]
     return root
 
 
+_HEAD_END = re.compile(r"</head\s*>|(?=<body[\s>])", re.IGNORECASE)
+
+
 def _behind(source: str, at: int, name: str) -> int:
     """Where an element without shown text ends, nested ones of its name included."""
     depth = 1
     nested = name not in ("script", "style", "textarea", "title")
-    if name == "head":  # its end tag may be missing
-        m = re.compile(r"</head\s*>|(?=<body[\s>])", re.IGNORECASE).search(source, at)
-        return m.end() if m else at
-    for m in re.compile(rf"<(/?){re.escape(name)}(?=[\s>/])[^>]*>", re.IGNORECASE).finditer(source, at):
+    tag = re.compile(rf"<(/?){re.escape(name)}(?=[\s>/])", re.IGNORECASE)
+    while m := tag.search(source, at):
+        end = source.find(">", m.end())
+        if end < 0:
+            break
+        at = end + 1
         if m[1]:
             depth -= 1
             if not depth:
-                return m.end()
+                return at
         elif nested:
             depth += 1
     return len(source)
@@ -200,6 +305,11 @@ def features(nodes: list[Node]) -> list[list[float]]:
         paragraphs[up] += paragraphs[i]
     whole = max(1, sums[0][0])
     depth, above_topics, above_tags = [0] * count, [0] * count, [0] * count
+    alike, place = [1] * count, [0] * count
+    for node in nodes:
+        of_tag = Counter(child.tag for child in node.children)
+        for k, child in enumerate(node.children):
+            alike[number[id(child)]], place[number[id(child)]] = of_tag[child.tag], k
     before, rows = 0, []
     for i, node in enumerate(nodes):
         up = parents[i]
@@ -207,9 +317,7 @@ def features(nodes: list[Node]) -> list[list[float]]:
             depth[i] = depth[up] + 1
             above_topics[i] = above_topics[up] | nodes[up].topics
             above_tags[i] = above_tags[up] | 1 << _TAG_AT.get(nodes[up].tag, len(TAGS))
-        siblings = node.parent.children if node.parent is not None else [node]
-        alike = sum(s.tag == node.tag for s in siblings) if len(siblings) < 200 else len(siblings)
-        place = next(k for k, s in enumerate(siblings) if s is node) if len(siblings) < 200 else 100
+        siblings = len(node.parent.children) if node.parent is not None else 1
         text, mark, link = sums[0][i], sums[1][i], sums[2][i]
         row = [float(node.topics >> k & 1) for k in range(_SPLIT_TOPICS)]
         row += [float(above_topics[i] >> k & 1) for k in range(_SPLIT_TOPICS)]
@@ -227,9 +335,9 @@ def features(nodes: list[Node]) -> list[list[float]]:
             float(paragraphs[i]),
             paragraphs[i] / tags[i],
             float(depth[i]),
-            float(len(siblings)),
-            place / max(1, len(siblings) - 1),
-            alike / len(siblings),
+            float(siblings),
+            place[i] / max(1, siblings - 1),
+            alike[i] / siblings,
             text / max(1, sums[0][up] if up >= 0 else text),
             before / whole,
             float(len(node.children)),

@@ -1,8 +1,8 @@
 """Main text of web pages by boosted trees over DOM nodes and a decoding of the tree.
 
 No page comes with labels, so the trees learn from structure that names itself.
-``TRAINING_PAGES`` pages at most, those with the smallest hashes, are read for their
-``article`` or ``main`` element. Each also is laid out anew several times, with its
+``TRAINING_PAGES`` pages at most, of those with an ``article`` or ``main`` tag the ones
+with the smallest hashes, are read for that element. Each also is laid out anew several times, with its
 own sentences in page frames of common kinds, in which the article is a plain
 element and menus, notices, forms and comments bear the usual attribute words; the
 model so learns from attributes, density and position where tags say nothing.
@@ -31,6 +31,7 @@ TRAINING_PAGES = 200
 _LAYOUTS = 5
 _LONGEST_TRAINING_PAGE = 100_000
 _ARTICLE = ("article", "main")
+_MARKED = r"(?i)<(article|main)[\s>]"
 _NEVER = frozenset("nav header footer aside form menu".split())
 
 
@@ -244,14 +245,15 @@ def main_text(
     A null or empty source gives an empty text; so does a page whose every block is
     judged no article. Null ids and urls are kept, repeated rows stay repeated, an
     empty table gives an empty result, and other columns are not looked at. If no
-    page of the sample marks its article, nothing can be learned and all shown
-    text is kept.
+    page of the table marks its article, nothing can be learned and all shown
+    text is kept. Broken and very long pages take time in proportion to their length.
     """
     named = df.select(
         F.col(f"`{page_id}`").alias("page_id"), F.col(f"`{url}`").alias("url"), F.col(f"`{source}`").alias("html")
     )
     # TRAINING_PAGES texts of a limited length each: a bounded sample for the driver.
-    placed = named.where(F.char_length("html") <= _LONGEST_TRAINING_PAGE).select(
+    marked = F.col("html").rlike(_MARKED) & (F.char_length("html") <= _LONGEST_TRAINING_PAGE)
+    placed = named.where(marked).select(
         "html", F.xxhash64("page_id", "url").alias("_place")
     )
     sample = smallest(placed, "_place", TRAINING_PAGES).select("html")
