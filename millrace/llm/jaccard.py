@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.batches import importable, map_blocks
+from millrace.llm.batches import append_columns, importable, map_blocks
 from millrace.llm.components import connected_components
 from millrace.llm.words import Words, mix, window_hashes
 from millrace.scratch import fresh_path
@@ -383,6 +384,11 @@ def similar_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     null id never names a component unless all its ids are null. An empty table
     gives an empty result. Other columns are not looked at.
     """
+    return _grouped(df, doc_id, text).select("doc_id", "n_shingles", "component_id")
+
+
+def _grouped(df: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """``similar_groups`` with the class of each row's set and the root of its component."""
     spark = df.sparkSession
     documents = df.select(F.col(f"`{text}`").alias("text"), F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"))
     texts = documents.select("text")
@@ -445,28 +451,54 @@ def similar_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         "_class", "least", F.coalesce("root", "_class").alias("root")
     )
     smallest = rooted.groupBy(F.col("root").alias("_root")).agg(F.min("least").alias("component"))
-    named = rooted.join(smallest, F.col("root") == F.col("_root")).select("_class", "component")
+    named = rooted.join(smallest, F.col("root") == F.col("_root")).select("_class", "component", "root")
     filled = F.when(F.col("n_shingles") > 0, F.col("class"))
     return rows.join(named, filled == F.col("_class"), "left").select(
         "doc_id",
         "n_shingles",
         F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"),
+        "class",
+        "root",
     )
 
 
+_CLASS = T.StructType([T.StructField("n_shingles", T.LongType()), T.StructField("class", T.LongType())])
+
+
+def _classes(texts: Sequence[str | None]) -> Sequence:
+    return list(zip(*[(len(found), number) for found, number in _sets(texts)], strict=True)) or [(), ()]
+
+
 def one_of_each_group(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``df`` with one document of each group, the one with the smallest id.
+    """``df`` with one row of each group, the one with the smallest id.
+
+    A row without an id stays only where no row of its group has one. Where several rows
+    of a group share the id, the set with the smallest number stays, and of equal sets any
+    one row; rows of one id whose texts are in different groups are judged apart. Rows
+    without words are alone, so all of them stay. Other columns are kept whatever their
+    names.
 
-    Rows with that id count as one document, of which each text stays once.
-    Documents without words and rows without an id, which cannot be told apart,
-    all stay.
+    Ids that stand on one row say which row stays. Rows whose id is missing or stands on
+    several are told apart by their sets, which are found again for these rows alone.
     """
-    groups = similar_groups(df, doc_id, text).where("n_shingles > 0")
-    gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    again = groups.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-    again = again.where("n > 1").select(F.col("doc_id").alias("_again"))
-    number = F.col(f"`{doc_id}`")
-    left = df.join(gone, number == F.col("_gone"), "left_anti")
-    once = left.join(again, number == F.col("_again"), "left_anti")
-    repeated = left.join(again, number == F.col("_again"), "left_semi")
-    return once.union(repeated.dropDuplicates([doc_id, text]))
+    groups = _grouped(df, doc_id, text)
+    path = fresh_path(df.sparkSession, "groups")
+    groups.write.parquet(path)
+    groups = df.sparkSession.read.schema(groups.schema).parquet(path)
+    worded = groups.where("n_shingles > 0")
+    order = F.struct(F.col("doc_id").isNull().alias("bare"), F.col("doc_id"), F.col("class"))
+    best = worded.groupBy("root").agg(F.min(order).alias("best"))
+    chosen = best.select(F.col("best.doc_id").alias("kept_id"), F.col("best.class").alias("kept_class"))
+    same_id = F.col("number") == F.col("kept_id")
+    gone = worded.select(F.col("doc_id").alias("number")).join(chosen, same_id, "left_anti").distinct()
+    several = groups.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("number")).agg(F.count("*").alias("n"))
+    several = several.where("n > 1").select("number")
+
+    rows = df.select(F.struct("*").alias("row"), F.col(f"`{doc_id}`").cast("bigint").alias("number"), F.col(f"`{text}`").alias("text"))
+    known = rows.where("number IS NOT NULL")
+    single = known.join(several, "number", "left_anti").join(gone, "number", "left_anti")
+    shared = known.join(several, "number", "left_semi").unionByName(rows.where("number IS NULL"))
+    judged = append_columns(shared, ["text"], _classes, _CLASS, ["row", "number"])
+    same_set = F.col("number").eqNullSafe(F.col("kept_id")) & (F.col("class") == F.col("kept_class"))
+    one = judged.where("n_shingles > 0").dropDuplicates(["number", "class"]).join(chosen, same_set, "left_semi")
+    return reduce(DataFrame.union, [d.select("row.*") for d in (single, one, judged.where("n_shingles = 0"))])

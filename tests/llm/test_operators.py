@@ -310,6 +310,26 @@ def test_groups_equal_brute_force(spark, documents, monkeypatch):
     assert set(ids) == {d for d, _, c in got if d is not None and d == c}
 
 
+def test_one_row_of_each_group_by_rows(spark):
+    """Ids on several rows, missing ids, equal rows, rows without words, clashing columns."""
+    near, far, lone = prose(1, 200), prose(2, 200), prose(3, 200)
+    rows = [
+        (1, near), (2, near + " x"), (2, far), (2, far), (3, far), (4, None), (4, None), (5, " "),
+        (None, near), (None, lone), (None, lone), (None, lone + " y"), (None, None), (None, ""), (2, lone + " z z z"),
+    ]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    for one in (df, clashing(df, "number", "class", "root", "row", "n", "n_shingles", "kept_id", "_gone", "_again")):
+        left = jaccard.one_of_each_group(one)
+        assert left.columns == one.columns
+        kept = collections.Counter((r["doc_id"], r["text"]) for r in left.collect())
+        assert kept == collections.Counter(
+            [(1, near), (2, far), (2, lone + " z z z"), (4, None), (4, None), (5, " "), (None, None), (None, "")]
+        )
+    kept = jaccard.one_of_each_group(df.where("doc_id IS NULL")).collect()
+    assert collections.Counter(r["text"] in (lone, lone + " y") for r in kept) == {True: 1, False: 3}
+    assert jaccard.one_of_each_group(df.limit(0)).count() == 0
+
+
 def test_components_of_a_path_and_loops(spark):
     edges = [(i, i + 1) for i in range(40)] + [(50, 50), (60, 61), (61, 60), (60, 61), (None, 3)]
     found = connected_components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()
