@@ -82,15 +82,26 @@ def byte_range(path: str) -> tuple[int, int]:
     return (ids[0], ids[-1] + 1) if ids else (0, 0)
 
 
+#: How special tokens, which count wherever they stand in a text, begin.
+_SPECIAL = b"<|"
+#: Words that are encoded as one text, and what ends a word in vocabularies that mark it.
+_JOINED = 2000
+_WORD_END = "</w>"
 PUNCTUATION = bytes(b for b in range(0x21, 0x7F) if not chr(b).isalnum())
 
 
 def _stem(word: bytes) -> bytes:
-    """``word`` in ASCII lower case without the punctuation after its last letter or digit."""
+    """``word`` in ASCII lower case without the punctuation after its last letter or digit.
+
+    That letter is looked at in lower case, in which some end in a mark that belongs to the
+    punctuation. A word that may hold a special token is left as it is.
+    """
+    if _SPECIAL in word:
+        return word
     core = word.rstrip(PUNCTUATION)
     if core and len(core) < len(word):
         last = core[-1:] if core[-1] < 0x80 else core[-4:].decode("utf-8", "ignore")[-1:]
-        if not last.isalnum():
+        if not last.lower()[-1:].isalnum():
             core = word
     return (core or word).lower()
 
@@ -100,7 +111,8 @@ def word_ids(path: str) -> Remembered:
 
     Right for vocabularies that drop white space, never join across it, ignore case
     and part letters from punctuation; then a word's ids are those of its stem and
-    those of the punctuation behind it. Special tokens' strings are ordinary text.
+    those of the punctuation behind it. Special tokens in a text are special, as they are
+    to the tokenizer by default.
     """
     return remembered(path, lambda: _load_words(path))
 
@@ -110,13 +122,35 @@ def _load_words(path: str) -> Remembered:
     from tokenizers import Tokenizer
 
     model = Tokenizer.from_file(path)
-    model.encode_special_tokens = True
+    ends = np.zeros(model.get_vocab_size(), bool)
+    ends[[i for piece, i in model.get_vocab().items() if piece.endswith(_WORD_END)]] = True
 
-    def encode(words: list[bytes]) -> list[bytes]:
-        texts = [w.decode("utf-8", "replace") for w in words]
+    def singly(texts: list[str]) -> list[bytes]:
         made = model.encode_batch_fast(texts, add_special_tokens=False)
         return _packed([e.ids for e in made], "<u4")
 
+    def together(texts: list[str]) -> list[bytes]:
+        """Words of letters, encoded as one text and parted where a word ends."""
+        ids = np.array(model.encode_batch_fast([" ".join(texts)], add_special_tokens=False)[0].ids, "<u4")
+        behind = 4 * (np.flatnonzero(ends[ids]) + 1)
+        if len(behind) != len(texts):  # some word falls apart, or the vocabulary marks no ends
+            return singly(texts)
+        flat = ids.tobytes()
+        return [flat[a:b] for a, b in zip([0, *behind[:-1].tolist()], behind.tolist(), strict=True)]
+
+    def encode(words: list[bytes]) -> list[bytes]:
+        texts = [w.decode("utf-8", "replace") for w in words]
+        plain = [i for i, t in enumerate(texts) if t.isalpha()]
+        other = [i for i, t in enumerate(texts) if not t.isalpha()]
+        out: list[bytes] = [b""] * len(texts)
+        for start in range(0, len(plain), _JOINED):
+            chosen = plain[start : start + _JOINED]
+            for i, ids in zip(chosen, together([texts[i] for i in chosen]), strict=True):
+                out[i] = ids
+        for i, ids in zip(other, singly([texts[i] for i in other]) if other else [], strict=True):
+            out[i] = ids
+        return out
+
     stems = Remembered(encode)
 
     def make(words: list[bytes]) -> list[bytes]:
