@@ -23,6 +23,7 @@ from millrace.operators.sizing import (
     with_parts,
 )
 
+_UNSTEADY = re.compile(r"(?<!Broadcast)Exchange|\b(?:Global|Local|Collect)Limit\b|^\W*Sample\b", re.MULTILINE)
 SALTS = 32
 SALT = "_salt"
 _PARTS = "_salt_parts"
@@ -58,13 +59,14 @@ def _condition(
 
 
 def check_repeatable(df: DataFrame, row_key: Sequence[str] | None) -> None:
-    """Refuse to salt by row position what comes out of a shuffle.
+    """Refuse to salt by row position what a retry may put in another order.
 
-    There a retry may give the same rows other positions, and so lose or double
-    some; ``row_key`` names columns that are unique per row instead.
+    That would lose or double rows; ``row_key`` names columns that are unique per row
+    instead. Seen in the plan are shuffles, limits and samples. What an RDD or a Python
+    function yields is not, so name a key there, too, unless it always yields the same.
     """
-    if not row_key and re.search(r"(?<!Broadcast)Exchange", df._jdf.queryExecution().toString()):
-        raise ValueError("rows come out of a shuffle: name unique columns with row_key")
+    if not row_key and _UNSTEADY.search(df._jdf.queryExecution().toString()):
+        raise ValueError("rows come out of a shuffle, limit or sample: name unique columns with row_key")
 
 
 def add_salt(
