@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -118,13 +118,13 @@ def _key(doc_id: int | None, found: np.ndarray) -> int:
     return -int(total >> _U64(2)) - 1
 
 
-def _chunks(texts: Sequence[str | None], ids: Sequence[int | None]):
-    for text, doc_id in zip(texts, ids, strict=True):
+def _chunks(texts: Sequence[str | None], ids: Sequence[int | None], numbers: Sequence[int] | None = None):
+    for text, doc_id, row in zip(texts, ids, numbers or [0] * len(texts), strict=True):
         data = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
         ends = cuts(data)
         if len(ends):
             found = digests(data, ends)
-            yield doc_id, _key(doc_id, found), data, ends, found
+            yield doc_id, _key(doc_id, found), data, ends, found, row
 
 
 _DIGESTS = T.StructType([T.StructField(n, T.LongType()) for n in ("digest", "key")])
@@ -133,7 +133,7 @@ _DIGESTS = T.StructType([T.StructField(n, T.LongType()) for n in ("digest", "key
 def _all_digests():
     def compute(texts, ids):
         made, keys = [], []
-        for _, key, _, _, found in _chunks(texts, ids):
+        for _, key, _, _, found, _ in _chunks(texts, ids):
             once = np.unique(found)
             made.append(once)
             keys.append(np.full(len(once), key, np.int64))
@@ -143,7 +143,7 @@ def _all_digests():
 
 
 _PLACES = T.StructType(
-    [T.StructField(n, T.LongType()) for n in ("doc_id", "key", "number", "start", "end", "bytes", "digest")]
+    [T.StructField(n, T.LongType()) for n in ("doc_id", "key", "row", "number", "start", "end", "bytes", "digest")]
 )
 
 
@@ -153,9 +153,9 @@ def _marked_places(marked):
     def start():
         bits = marked.value
 
-        def compute(texts, ids):
+        def compute(texts, ids, numbers):
             rows = []
-            for doc_id, key, data, ends, found in _chunks(texts, ids):
+            for doc_id, key, data, ends, found, row in _chunks(texts, ids, numbers):
                 slot = (found.view(_U64) % _U64(_MARKED_BITS)).astype(np.int64)
                 hit = np.flatnonzero((bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1)
                 if not len(hit):
@@ -163,7 +163,7 @@ def _marked_places(marked):
                 points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
                 starts = np.concatenate([[0], ends[:-1]])
                 rows.append((
-                    [doc_id] * len(hit), np.full(len(hit), key, np.int64), hit,
+                    [doc_id] * len(hit), np.full(len(hit), key, np.int64), np.full(len(hit), row, np.int64), hit,
                     points[starts[hit]], points[ends[hit]], (ends - starts)[hit], found[hit],
                 ))
             if not rows:
@@ -192,6 +192,11 @@ def _bitmap(repeated: DataFrame) -> np.ndarray:
     return bits
 
 
+def _row_number(text: str) -> Column:
+    """Tells texts of one id apart."""
+    return F.xxhash64(F.col(f"`{text}`"))
+
+
 def repeated_passages(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Passages of ``LEAST_PASSAGE`` bytes or more whose chunks other documents hold too.
 
@@ -200,13 +205,20 @@ def repeated_passages(df: DataFrame, doc_id: str = "doc_id", text: str = "text")
     chunk of it; the passage there is the one to keep (``is_first``). A passage's
     edges lie on cuts, so it may start and end a chunk inside the repeated text.
 
-    Rows with one id count as one document; a row without an id is known by its
+    Rows with one id count as one document, of which each text has passages of its own,
+    equal rows those of one; a row without an id is known by its
     text, and stands in ``first_doc_id`` as a negative number of it. Null and empty
     texts have no passages; an empty table gives an empty result. Other columns are
     not looked at.
     """
+    return _passages(df, doc_id, text).drop("row")
+
+
+def _passages(df: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """``repeated_passages`` with the number of the row's text."""
     spark = df.sparkSession
     documents = df.select(F.col(f"`{text}`").alias("text"), F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"))
+    numbered = documents.select("text", "doc_id", _row_number("text").alias("row"))
     path = fresh_path(spark, "digests")
     # Sums per digest are partial before the shuffle, so frequent chunks do no harm.
     (
@@ -219,14 +231,14 @@ def repeated_passages(df: DataFrame, doc_id: str = "doc_id", text: str = "text")
     )
     repeated = spark.read.parquet(path)
     marked = spark.sparkContext.broadcast(_bitmap(repeated))
-    places = map_blocks(documents, _marked_places(marked), _PLACES).distinct()
+    places = map_blocks(numbered, _marked_places(marked), _PLACES).distinct()
     held = places.join(repeated.withColumnRenamed("digest", "_digest"), F.col("digest") == F.col("_digest"))
     # Neighbours share the difference of their number and their rank: one passage each.
     ranked = held.withColumn(
         "_passage",
-        F.col("number") - F.row_number().over(Window.partitionBy("key").orderBy("number")),
+        F.col("number") - F.row_number().over(Window.partitionBy("key", "row").orderBy("number")),
     )
-    passages = ranked.groupBy("key", "doc_id", "_passage").agg(
+    passages = ranked.groupBy("key", "doc_id", "row", "_passage").agg(
         F.min("start").alias("start"),
         F.max("end").alias("end"),
         F.sum("bytes").alias("n_bytes"),
@@ -237,10 +249,11 @@ def repeated_passages(df: DataFrame, doc_id: str = "doc_id", text: str = "text")
         "doc_id", "start", "end", "n_bytes", "n_chunks",
         F.col("_first").alias("first_doc_id"),
         (F.col("key") == F.col("_first")).alias("is_first"),
+        "row",
     )
 
 
-_TEXT = T.StructType([T.StructField("_left", T.StringType())])
+_TEXT = T.StructType([T.StructField("left_text", T.StringType())])
 
 
 def _cut_out(texts, starts, ends) -> tuple:
@@ -257,13 +270,20 @@ def _cut_out(texts, starts, ends) -> tuple:
 def without_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``df`` with every repeated passage cut out but in its first document.
 
-    Rows without an id keep their texts.
+    Rows without an id keep their texts. Other columns stay, whatever their names.
     """
-    found = repeated_passages(df, doc_id, text).where("NOT is_first AND doc_id IS NOT NULL")
-    spans = found.groupBy(F.col("doc_id").alias("_id")).agg(
-        F.collect_list("start").alias("_starts"), F.collect_list("end").alias("_ends")
+    found = _passages(df, doc_id, text).where("NOT is_first AND doc_id IS NOT NULL")
+    spans = found.groupBy("doc_id", F.col("row").alias("number")).agg(
+        F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends")
+    )
+    rows = df.select(
+        F.struct("*").alias("row"),
+        F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"),
+        F.col(f"`{text}`").alias("text"),
+        _row_number(text).alias("number"),
+    )
+    joined = rows.join(spans, ["doc_id", "number"], "left")
+    cut = append_columns(joined, ["text", "starts", "ends"], _cut_out, _TEXT, ["row"])
+    return cut.select(
+        *[F.col("left_text").alias(c) if c == text else F.col("row").getField(c).alias(c) for c in df.columns]
     )
-    order = df.columns
-    joined = df.join(spans, F.col(f"`{doc_id}`") == F.col("_id"), "left")
-    cut = append_columns(joined, [text, "_starts", "_ends"], _cut_out, _TEXT)
-    return cut.withColumn(text, F.col("_left")).select(*[f"`{c}`" for c in order])

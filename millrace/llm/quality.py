@@ -241,7 +241,14 @@ def quality_rules(
     """
     made = {"base_failed", "kept", *[f.name for f in FIELDS]}
     keep = [c for c in (df.columns if keep is None else keep) if c.lower() not in made]
-    measured = quality_measures(df, text, vocabulary, [*keep, *({language} - {*keep})])
+    # Columns of the caller travel in one of ours, so that their names meet none.
+    named = df.select(
+        F.struct(F.lit(True).alias("_"), *[F.col(f"`{c}`").alias(f"_{c}") for c in keep]).alias("_held"),
+        F.col(f"`{text}`").alias("_text"),
+        F.col(f"`{language}`").alias("_language"),
+    )
+    language = "_language"
+    measured = quality_measures(named, "_text", vocabulary, ["_held", language])
     path = fresh_path(df.sparkSession, "quality")
     measured.write.parquet(path)
     measured = df.sparkSession.read.schema(measured.schema).parquet(path)
@@ -255,7 +262,7 @@ def quality_rules(
         100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words")
     )
     return joined.select(
-        *[f"`{c}`" for c in keep],
+        *[F.col("_held").getField(f"_{c}").alias(c) for c in keep],
         *[f.name for f in FIELDS],
         failed.alias("base_failed"),
         (~failed & ~outside).alias("kept"),

@@ -131,10 +131,16 @@ def find_secrets(
     of ``df`` with names of new ones are replaced.
     """
     keep = df.columns if keep is None else list(keep)
-    made = {"spans", "n_live", "n_example", "live_starts", "live_ends", "_repository"}
-    kept = [c for c in keep if c.lower() not in made and c.lower() not in {f.name for f in _FIELDS}]
-    named = df.withColumn("_repository", F.col(f"`{repository}`").cast("string"))
-    scanned = append_columns(named, [text], _scan, _FIELDS, [*kept, "_repository"])
+    made = {"spans", "n_live", "n_example", "live_starts", "live_ends"}
+    made |= {f.name for f in _FIELDS if not f.name.startswith("_")}
+    kept = [c for c in keep if c.lower() not in made]
+    # Columns of the caller travel in one of ours, so that their names meet none.
+    named = df.select(
+        F.struct(F.lit(True).alias("_"), *[F.col(f"`{c}`").alias(f"_{c}") for c in kept]).alias("_held"),
+        F.col(f"`{text}`").alias("_text"),
+        F.col(f"`{repository}`").cast("string").alias("_repository"),
+    )
+    scanned = append_columns(named, ["_text"], _scan, _FIELDS, ["_held", "_repository"])
     path = fresh_path(df.sparkSession, "secrets")
     # Written with a row number, which stays the same in all that is read from here.
     scanned.withColumn("_row", F.monotonically_increasing_id()).write.parquet(path)
@@ -173,7 +179,7 @@ def find_secrets(
     live_count = F.when(F.col("_all").isNull(), 0).otherwise(count(found)).cast("bigint")
     all_count = F.when(F.col("_all").isNull(), 0).otherwise(count("_all")).cast("bigint")
     return joined.select(
-        *[f"`{c}`" for c in kept],
+        *[F.col("_held").getField(f"_{c}").alias(c) for c in kept],
         "n_assign", "n_access", "n_hex", "base_sha256",
         F.coalesce(F.array_join(F.transform("_all", lambda s: s["shown"]), ","), F.lit("")).alias("spans"),
         live_count.alias("n_live"),
