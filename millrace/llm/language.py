@@ -1,12 +1,11 @@
-"""Language identification by unigram pieces, summed over all segmentations.
-
-Each language has a probability for every piece of a fixed public vocabulary. The
-probability of a word is the sum over all ways to cut it into pieces, found by a
-forward pass; a text's is the product over its words, without the ASCII
-punctuation around them. Probabilities are learned by
-expectation maximisation from the words of about ``TRAINING_TEXTS`` texts per
-language at most, each of ``LONGEST_TRAINING_TEXT`` characters at most, chosen by
-hash: a bounded sample, however many texts there are.
+"""Language of texts by unigram pieces, whatever way a word is cut into them.
+
+Every language has probabilities for the pieces of one public vocabulary. A forward
+pass over a word adds up the products of all its segmentations, so no single cut
+decides; texts add the logarithms over their words. The probabilities are learned by
+expectation maximisation (forward and backward) from the words of ``TRAINING_TEXTS``
+texts a language at most, ``TRAINING_WORDS`` different ones of them, chosen by
+hash and frequency.
 """
 
 from __future__ import annotations
@@ -15,7 +14,7 @@ import uuid
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,13 +22,22 @@ from millrace.llm.batches import append_columns, remembered
 from millrace.llm.vocabulary import PUNCTUATION, Remembered
 
 TRAINING_TEXTS = 300
-LONGEST_TRAINING_TEXT = 20_000
+#: Different words to learn from per language, the most frequent ones.
+TRAINING_WORDS = 200_000
 ROUNDS = 3
 MOST_BROADCAST_LANGUAGES = 10_000
 #: Weight of each piece before anything is seen, as a share of a count.
 PRIOR = 0.01
-#: Longer words are scored in stretches of so many characters.
+#: For learning alone longer words are parted; scores sum over whole words.
 STRETCH = 40
+#: Words up to so many characters are scored together, longer ones one by one.
+LONGEST_TOGETHER = 256
+#: Numbers that the sums of words scored together take up at most.
+_HELD = 1 << 22
+#: Words of a text whose scores are added at a time.
+_WORDS_ADDED = 1 << 15
+#: Places after which sums are brought back to a size near 1.
+_RESCALED = 16
 UNKNOWN = "und"
 _START = "▁"
 _LEAST = 1e-7
@@ -50,6 +58,7 @@ class Pieces:
         self.number = {piece: i + 1 for i, piece in enumerate(sorted(texts))}
         self.begun = {piece[:n] for piece in texts for n in range(1, len(piece) + 1)}
         self.size = len(self.number) + 1
+        self.longest = max(map(len, texts), default=1)
 
     def edges(self, word: str) -> list[tuple[int, int, int]]:
         """(end, start, piece) for every piece at every place."""
@@ -67,6 +76,52 @@ class Pieces:
         return out
 
 
+def whole_word(word: str, pieces: Pieces, weight: np.ndarray) -> np.ndarray:
+    """Log-likelihoods of one word of any length, over all its segmentations.
+
+    Holds the sums of as many places as the longest piece has characters.
+    """
+    reach = pieces.longest
+    sums = [np.ones(weight.shape[1])]
+    scale = np.zeros(weight.shape[1])
+    for end in range(1, len(word) + 1):
+        total = np.zeros(weight.shape[1])
+        if word[end - 1] not in pieces.number:
+            total = sums[-1] * weight[0]
+        for n in range(1, min(reach, end) + 1):
+            piece = pieces.number.get(word[end - n : end])
+            if piece is not None:
+                total = total + sums[-n] * weight[piece]
+        sums.append(total)
+        if len(sums) > reach:
+            del sums[0]
+        if end % _RESCALED == 0:
+            top = np.maximum(np.max(sums, axis=0), 1e-300)
+            sums = [s / top for s in sums]
+            scale += np.log(top)
+    return scale + np.log(np.maximum(sums[-1], 1e-300))
+
+
+def word_likelihoods(words: Sequence[str], pieces: Pieces, weight: np.ndarray) -> np.ndarray:
+    """Log-likelihoods of words by language, each summed over all segmentations.
+
+    Words of similar lengths go together, so many at a time that their sums stay within
+    ``_HELD`` numbers whatever the languages; memory does not grow with a word's length.
+    """
+    languages = weight.shape[1]
+    out = np.zeros((len(words), languages))
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    order = np.argsort(lengths, kind="stable")
+    most = max(1, _HELD // ((pieces.longest + 1) * max(languages, 1)))
+    together = order[: np.searchsorted(lengths[order], LONGEST_TOGETHER, "right")]
+    for start in range(0, len(together), most):
+        chosen = together[start : start + most]
+        out[chosen] = Lattices([words[i] for i in chosen], pieces).log_likelihood(weight, pieces.longest)
+    for i in order[len(together) :]:
+        out[i] = whole_word(words[i], pieces, weight)
+    return out
+
+
 def stretches(word: str) -> list[str]:
     marked = _START + word
     return [marked[i : i + STRETCH] for i in range(0, len(marked), STRETCH)]
@@ -110,9 +165,33 @@ class Lattices:
             np.add.at(sums, (self.word[a:b], self.start[a:b]), sums[self.word[a:b], end] * weight[self.piece[a:b]])
         return sums
 
-    def log_likelihood(self, weight: np.ndarray) -> np.ndarray:
-        whole = self.forward(weight)[np.arange(len(self.lengths)), self.lengths]
-        return np.log(np.maximum(whole, 1e-300))
+    def log_likelihood(self, weight: np.ndarray, reach: int) -> np.ndarray:
+        """Of each word over all its segmentations, from the sums of the last ``reach`` places."""
+        count, languages = len(self.lengths), weight.shape[1]
+        sums = np.zeros((count, reach + 1, languages))
+        sums[:, 0] = 1
+        scale, out = np.zeros((count, languages)), np.zeros((count, languages))
+        by_length = np.argsort(self.lengths, kind="stable")
+        ends = np.searchsorted(self.lengths[by_length], np.arange(self.longest + 2))
+        for end in range(1, self.longest + 1):
+            a, b = self.bounds[end - 1], self.bounds[end]
+            alive = by_length[ends[end] :]
+            slot = end % (reach + 1)
+            sums[alive, slot] = 0
+            if a < b:
+                word = self.word[a:b]
+                ways = sums[word, self.start[a:b] % (reach + 1)] * weight[self.piece[a:b]]
+                # Edges with one end are in the order of their words.
+                first = np.concatenate([[0], np.flatnonzero(np.diff(word)) + 1])
+                sums[word[first], slot] = np.add.reduceat(ways, first, axis=0)
+            done = by_length[ends[end] : ends[end + 1]]
+            out[done] = scale[done] + np.log(np.maximum(sums[done, slot], 1e-300))
+            if end % _RESCALED == 0:
+                left = by_length[ends[end + 1] :]
+                top = np.maximum(sums[left].max(axis=1), 1e-300)
+                sums[left] /= top[:, None]
+                scale[left] += np.log(top)
+        return out
 
 
 def learn(counts: dict[str, dict[str, int]], pieces: Pieces) -> tuple[list[str], np.ndarray]:
@@ -149,12 +228,8 @@ def _scorer(weight: np.ndarray, path: str) -> Remembered:
     nothing = np.zeros(weight.shape[1], "<f4").tobytes()
 
     def score(words: list[bytes]) -> list[bytes]:
-        parts = [stretches(w.decode("utf-8", "replace")) for w in words]
-        lengths = np.fromiter(map(len, parts), np.int64, len(parts))
-        lattice = Lattices([p for part in parts for p in part], pieces)
-        each = lattice.log_likelihood(weight)
-        firsts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-        return [row.tobytes() for row in np.add.reduceat(each, firsts, axis=0).astype("<f4")]
+        texts = [_START + w.decode("utf-8", "replace") for w in words]
+        return [row.tobytes() for row in word_likelihoods(texts, pieces, weight).astype("<f4")]
 
     bare = Remembered(score)
 
@@ -175,17 +250,22 @@ def _predict(model, name: str, path: str):
         lettered = [t is not None and any(map(str.isalpha, t)) for t in texts]
         if not languages:
             return [UNKNOWN] * len(texts), [0.0] * len(texts)
+        names, scores = [], []
         words = [
             t.lower().encode("utf-8", "surrogatepass").split() if ok else []
             for t, ok in zip(texts, lettered, strict=True)
         ]
-        names, scores = [], []
-        for packed, ok in zip(scorer.of(words), lettered, strict=True):
+        totals = np.zeros((len(texts), len(languages)))
+        # All texts at once, but a long one part by part.
+        for start in range(0, max(map(len, words), default=0), _WORDS_ADDED):
+            parts = [w[start : start + _WORDS_ADDED] for w in words]
+            for i, packed in enumerate(scorer.of(parts)):
+                totals[i] += np.frombuffer(packed, "<f4").reshape(-1, len(languages)).sum(axis=0, dtype=float)
+        for total, ok in zip(totals, lettered, strict=True):
             if not ok:
                 names.append(UNKNOWN)
                 scores.append(0.0)
                 continue
-            total = np.frombuffer(packed, "<f4").reshape(-1, len(languages)).sum(axis=0, dtype=float)
             best = int(total.argmax())
             names.append(languages[best])
             scores.append(float(1 / np.exp(total - total[best]).sum()))
@@ -200,12 +280,12 @@ def held_out(doc_id: str) -> Column:
 
 
 def training_words(df: DataFrame, doc_id: str, text: str, language: str) -> dict[str, dict[str, int]]:
-    """Word counts of about ``TRAINING_TEXTS`` texts per language."""
+    """Word counts of about ``TRAINING_TEXTS`` texts per language, of ``TRAINING_WORDS`` words."""
     known = df.where(~held_out(doc_id)).where(F.col(f"`{language}`").isNotNull()).select(
         F.col(f"`{language}`").cast("string").alias("language"),
         F.col(f"`{text}`").alias("text"),
         F.pmod(F.xxhash64(f"`{doc_id}`"), F.lit(1 << 30)).alias("place"),
-    ).where(F.char_length("text") <= LONGEST_TRAINING_TEXT)
+    )
     sizes = known.groupBy("language").agg(F.count(F.lit(1)).alias("n"))
     sizes = sizes.withColumnRenamed("language", "_language")
     if sizes.count() <= MOST_BROADCAST_LANGUAGES:  # else texts are shuffled by language
@@ -215,6 +295,8 @@ def training_words(df: DataFrame, doc_id: str, text: str, language: str) -> dict
     words = chosen.select("language", F.explode(F.split(F.lower("text"), "[ \\t-\\r]+")).alias("word"))
     words = words.withColumn("word", F.regexp_replace("word", "^[!-/:-@\\[-`{-~]+|[!-/:-@\\[-`{-~]+$", ""))
     counted = words.where("word <> ''").groupBy("language", "word").agg(F.count(F.lit(1)).alias("n"))
+    by_number = Window.partitionBy("language").orderBy(F.col("n").desc(), "word")
+    counted = counted.withColumn("place", F.row_number().over(by_number)).where(F.col("place") <= TRAINING_WORDS)
     found: dict[str, dict[str, int]] = {}
     for row in counted.toLocalIterator():
         found.setdefault(row["language"], {})[row["word"]] = row["n"]

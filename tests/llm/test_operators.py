@@ -1,11 +1,13 @@
 """Operators against brute force, on small tables with nulls, ties and repeated rows."""
 
 import collections
+import fractions
 import hashlib
 import itertools
 import math
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -413,6 +415,53 @@ def test_forward_sums_all_segmentations():
             assert got[i, len(word), j] == pytest.approx(all_cuts(word, weight[:, j], pieces))
 
 
+@pytest.mark.parametrize("together", [0, 256])
+def test_likelihoods_are_of_whole_words(monkeypatch, together):
+    """Short words by recursion, long ones by exact sums, however they are grouped."""
+    monkeypatch.setattr(language, "LONGEST_TOGETHER", together)
+    monkeypatch.setattr(language, "_HELD", 500)
+    pieces = language.Pieces(PIECES)
+    weight = np.random.default_rng(1).random((pieces.size, 3)) / 900
+
+    def exact(word, column):
+        sums = [fractions.Fraction(1)]
+        for end in range(1, len(word) + 1):
+            total = sums[-1] * fractions.Fraction(weight[0, column]) if word[end - 1] not in pieces.number else 0
+            for start in range(max(0, end - pieces.longest), end):
+                piece = pieces.number.get(word[start:end])
+                if piece is not None:
+                    total += sums[start] * fractions.Fraction(weight[piece, column])
+            sums.append(total)
+        return math.log(sums[-1].numerator) - math.log(sums[-1].denominator)
+
+    chance = random.Random(7)
+    tested = ["▁the", "▁él漢t", "▁", "▁" + "stand" * 12] + ["▁" + "".join(chance.choices("theradnéü漢", k=k)) for k in (3, 39, 40, 41, 100, 255, 256, 500)]
+    got = language.word_likelihoods(tested, pieces, weight)
+    for i, word in enumerate(tested):
+        for j in range(3):
+            if len(word) < 12:
+                assert got[i, j] == pytest.approx(math.log(all_cuts(word, weight[:, j], pieces)))
+            if len(word) <= 101 or j == 0:
+                assert got[i, j] == pytest.approx(exact(word, j))
+    assert language.word_likelihoods([], pieces, weight).shape == (0, 3)
+
+
+def test_long_texts_and_many_languages_in_bounded_memory():
+    """Two megabytes of different words by a hundred languages."""
+    pieces = language.Pieces(PIECES)
+    weight = np.random.default_rng(1).random((pieces.size, 100)) / 900
+    chance = random.Random(3)
+    words = ["".join(chance.choices("abcdefghijklmnop", k=9)) for _ in range(200_000)]
+    model = type("Shared", (), {"value": ([f"l{i}" for i in range(100)], weight)})()
+    tracemalloc.start()
+    predict = language._predict(model, "test of memory", PIECES)
+    names, scores = predict([" ".join(words), "the and", "x" * 20_000, None])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert names[3] == "und" and names[0].startswith("l") and 0 < scores[0] <= 1
+    assert peak < 600e6
+
+
 def test_language(spark):
     chance = random.Random(2)
     kinds = {"aa": ["the", "of", "and", "ing", "tion"], "bb": ["der", "und", "sch", "ung", "ß"]}
