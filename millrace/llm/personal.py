@@ -8,10 +8,11 @@ digit or an at sign (any other token is none of the kinds) with a kind or none:
 * skip edges between distant tokens of one text that repeat each other or are alike
   in their digits, so that all mentions of one number or address agree.
 
-Loopy message passing gives each token's label. The potentials are trained piece by
-piece on the base spans of a bounded sample of texts; spans of tokens that the
-field is sure of and no pattern found are added. Evidence from the patterns in the
-text itself enters through the tokens they cover, whose labels are given.
+Loopy message passing gives each token's label, in every text that has tokens. The
+potentials are trained piece by piece on the base spans of a bounded sample of texts, and
+on the same texts with telephone numbers in notations that the patterns pass over. Spans
+of tokens that the field is sure of and no pattern found are added. Evidence from
+the patterns in the text itself enters through the tokens they cover, whose labels are given.
 """
 
 from __future__ import annotations
@@ -36,7 +37,9 @@ TRAINING_TEXTS = 2000
 LONGEST_TRAINING_TEXT = 20_000
 #: Weights of the unary features, which are hashed.
 BUCKETS = 1 << 12
+#: Probability from which a token counts if another of its label is tied to it, and if none is.
 SURE = 0.8
+SURE_ALONE = 0.95
 PASSES = 8
 #: Tokens are alike if so many of their last digits are equal.
 LEAST_DIGITS = 7
@@ -207,15 +210,54 @@ def _normal(score: np.ndarray) -> np.ndarray:
     return p / p.sum(axis=1, keepdims=True)
 
 
+def _other_notation(text: str, base: Sequence[Span], number: int) -> str | None:
+    """``text`` with its telephone numbers written otherwise, character by character.
+
+    By turns without the plus, with points between groups, and with hyphens.
+    """
+    phones = [(s, e) for k, s, e in base if KINDS[k] == "phone"]
+    if not phones:
+        return None
+    out = list(text)
+    for n, (start, end) in enumerate(phones):
+        out[start] = " "
+        mark = (None, ".", "-")[(number + n) % 3]
+        for i in range(start + 1, end):
+            if mark and out[i] in " -." and out[i - 1].isdigit() and i + 1 < end and out[i + 1].isdigit():
+                out[i] = mark
+    return "".join(out)
+
+
+def _examples(text: str, base: Sequence[Span], number: int) -> tuple[list[list[int]], list[int]]:
+    """Features and labels of the tokens of ``text`` in another notation that lie in its phones."""
+    changed = _other_notation(text, base, number)
+    if changed is None:
+        return [], []
+    kind = KINDS.index("phone")
+    phones = [(s, e) for k, s, e in base if k == kind]
+    tokens = Tokens(changed, base_spans(changed))
+    rows, labels = [], []
+    for (start, end, given), digits, row in zip(tokens.all, tokens.digits, tokens.features(), strict=True):
+        inside = any(s <= start and end <= e for s, e in phones)
+        if inside and given == NONE and len(digits) >= LEAST_DIGITS:
+            rows.append(row)
+            labels.append(kind)
+    return rows, labels
+
+
 def train(texts: Sequence[str]) -> Field | None:
     """Unary weights by regression on base labels, pair potentials from counted labels."""
     rows, labels = [], []
     chain = np.ones((NONE + 1, NONE + 1))
     skip = np.full((NONE + 1, NONE + 1), 0.01)  # what repeats a token is taken to agree
-    for text in texts:
-        tokens = Tokens(text, base_spans(text))
+    for number, text in enumerate(texts):
+        base = base_spans(text)
+        tokens = Tokens(text, base)
         if not tokens.all:
             continue
+        other_rows, other_labels = _examples(text, base, number)
+        rows += other_rows
+        labels += other_labels
         given = tokens.given
         np.add.at(chain, (given[:-1], given[1:]), 1)
         missed = set()  # patterns are sure of what they find, not of what they pass over
@@ -250,30 +292,41 @@ def train(texts: Sequence[str]) -> Field | None:
     return Field(weight, ratio(chain), ratio(skip))
 
 
+def possible(kind: int, word: str, digits: str) -> bool:
+    """Whether a token can be of a kind at all, whatever speaks for it."""
+    if KINDS[kind] == "email":
+        return "@" in word
+    if KINDS[kind] == "card":
+        return 12 <= len(digits) <= 19 and luhn(digits)
+    if KINDS[kind] == "phone":
+        return LEAST_DIGITS <= len(digits) <= 15 and "@" not in word
+    groups = re.findall(r"[0-9]+", word)
+    return len(groups) == 4 and all(len(g) <= 3 and int(g) <= 255 for g in groups)
+
+
 def added_spans(text: str, base: Sequence[Span], field: Field | None) -> list[Span]:
     """Tokens that the field is sure of and no base span touches.
 
-    A token counts only if a skip edge ties it to another of its kind.
+    A skip edge to another token of the label makes up for some doubt.
     """
     if field is None:
         return []
     tokens = Tokens(text, base)
-    if not any(k == NONE for _, _, k in tokens.all) or not base:
-        return []  # without a given label in the text there is nothing to agree with
-    skips = tokens.skips()
-    if not skips:
+    if all(k != NONE for _, _, k in tokens.all):
         return []
     probability = field.marginals(tokens)
     best = probability.argmax(axis=1)
     tied = set()
-    for i, j in skips:
+    for i, j in tokens.skips():
         if best[i] == best[j]:
             tied |= {i, j}
     found = []
-    for i in sorted(tied):
-        start, end, kind = tokens.all[i]
-        if kind == NONE and best[i] != NONE and probability[i, best[i]] >= SURE:
-            found.append((int(best[i]), start, end))
+    for i, (start, end, kind) in enumerate(tokens.all):
+        label = int(best[i])
+        if kind != NONE or label == NONE or not possible(label, tokens.words[i], tokens.digits[i]):
+            continue
+        if probability[i, label] >= (SURE if i in tied else SURE_ALONE):
+            found.append((label, start, end))
     return found
 
 
@@ -289,9 +342,7 @@ def _find(field):
         for text in texts:
             base = base_spans(text or "")
             kinds = Counter(s[0] for s in base)
-            spans = base
-            if base:
-                spans = sorted([*base, *added_spans(text, base, field.value)], key=lambda s: (s[1], s[0]))
+            spans = sorted([*base, *added_spans(text or "", base, field.value)], key=lambda s: (s[1], s[0]))
             digest = hashlib.sha256(listed(base).encode()).hexdigest()
             rows.append((*[kinds[k] for k in range(NONE)], digest, listed(spans)))
         return tuple(zip(*rows, strict=True))
