@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.operators.sizing import Measured, measure, with_parts
+from millrace.operators.sizing import HotKeys, hot_keys, with_parts
 from millrace.scratch import fresh_path
 
 _PARTS, _SLICE = "_scan_parts", "_scan_slice"
@@ -100,7 +100,7 @@ def group_ranks(
     *,
     row_key: Sequence[str],
     running: Mapping[str, Column] | None = None,
-    measured: Measured | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Every row with ``row_number``, ``rank``, ``dense_rank``, ``group_rows`` and running sums.
 
@@ -110,7 +110,7 @@ def group_ranks(
     decimals for sums that do not depend on where ranges are cut. Null keys are a group.
 
     Groups of ordinary size go through one shuffle and Spark's windows. Rows of hot groups
-    (see ``measure``) are shuffled by ranges of the order first and windowed per range; that
+    (see ``hot_keys``) are shuffled by ranges of the order first and windowed per range; that
     result is written, so that the facts of the ranges, at most one more than twice the
     shuffle partitions for each hot group, come from it and are broadcast back.
     """
@@ -121,7 +121,7 @@ def group_ranks(
     if taken:
         raise ValueError(f"rename columns {sorted(taken)}")
     whole = Window.partitionBy(*keys)
-    hot = (measured or measure(df, keys, sizes=False)).hot
+    hot = hot_keys(df, keys) if hot is None else hot
     parted = with_parts(df, keys, hot, _PARTS)
     cold = parted.where(F.col(_PARTS) == 1).drop(_PARTS)
     cold = _within(cold, keys, order_by, row_key, running).withColumn(_ROWS, F.count(F.lit(1)).over(whole))

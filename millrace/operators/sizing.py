@@ -19,6 +19,8 @@ from pyspark.sql import types as T
 
 BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
 _SLOTS_PER_HOT_KEY = 8
+_SAMPLED_PER_PARTITION = 1024
+_SAMPLE_STEPS = 1 << 40
 # Fixed value: Spark's frequent-items sketch gives back at most twice as many.
 _HOT_PER_SKETCH = 50_000
 _QUANTILE_DETAIL = 800
@@ -117,8 +119,25 @@ def fits_in(df: DataFrame, limit: int) -> bool:
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str]) -> HotKeys:
-    """The hot keys of ``df`` and their parts (see ``measure``)."""
-    return measure(df, keys, sizes=False).hot
+    """The hot keys of ``df`` and their parts (see ``measure``), from a sample.
+
+    Rows are counted first, which for files takes no more than their footers. So many are
+    then looked at that even a key which just fills a partition is seen a thousand times; a
+    table of no more rows than that is looked at whole. As with any estimate, the
+    answer may only place rows. At most twice as many keys as partitions come back.
+    """
+    partitions = _shuffle_partitions(df)
+    rows, wanted = df.count(), partitions * _SAMPLED_PER_PARTITION
+    sample = df.select(key_hash(keys).alias("key"))
+    if rows > wanted:
+        kept = max(1, round(_SAMPLE_STEPS * wanted / rows))
+        place = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(_SAMPLE_STEPS))
+        sample, rows = sample.where(place < kept), rows * kept / _SAMPLE_STEPS
+    counts = sample.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    hot: HotKeys = {}
+    for row in counts.where(F.col("n") > F.lit(rows / partitions)).collect():
+        hot[row["key"]] = 2 ** math.ceil(math.log2(row["n"] * partitions / rows))
+    return hot
 
 
 def quantiles(df: DataFrame, columns: Sequence[str], parts: int) -> dict[str, list[float]]:

@@ -7,7 +7,7 @@ from rows import plan, same_rows
 
 from millrace.operators import scans
 from millrace.operators.scans import group_ranks
-from millrace.operators.sizing import Measured, measure
+from millrace.operators.sizing import hot_keys
 
 
 def skewed(spark, spread, rows=4000):
@@ -62,7 +62,7 @@ def test_ranges_are_balanced(spark, monkeypatch):
 
 def test_small_groups_take_one_window(spark):
     df = spark.range(2000).select("id", (F.col("id") % 400).alias("key"), F.col("id").alias("value"))
-    assert not measure(df, ["key"], sizes=False).hot
+    assert not hot_keys(df, ["key"])
     result = group_ranks(df, ["key"], ["value"], row_key=["id"], running={"total": F.col("value")})
     assert "_of_slice" not in plan(result)
     same_rows(result, by_windows(df, [F.col("value")]))
@@ -70,7 +70,7 @@ def test_small_groups_take_one_window(spark):
 
 def test_hot_keys_may_be_given(spark):
     df = skewed(spark, 50)
-    cold = group_ranks(df, ["key"], ["value"], row_key=["id"], measured=Measured(4000, 0, {}))
+    cold = group_ranks(df, ["key"], ["value"], row_key=["id"], hot={})
     same_rows(group_ranks(df, ["key"], ["value"], row_key=["id"]), cold)
 
 
