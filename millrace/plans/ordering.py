@@ -137,8 +137,7 @@ def sort_hot(spark: SparkSession, folder: str) -> DataFrame:
         (F.max("n_rows") * F.count(F.lit(1)) <= 2 * F.sum("n_rows")).alias("balanced"),
     )
     values = runs.groupBy(F.col("value").alias("l_returnflag")).agg(F.sum("n_rows").alias("n_rows"))
-    # One row, by construction.
-    return values.join(F.broadcast(facts))
+    return values.withColumns({name: F.lit(fact) for name, fact in facts.first().asDict().items()})
 
 
 @query("SELECT * FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 10")

@@ -68,8 +68,8 @@ def test_rows_know_their_file(spark, tmp_path):
 
 def test_footers_are_enough(spark, folder, monkeypatch):
     seen = type(spark.range(1))
-    plans, collect = [], seen.collect
-    monkeypatch.setattr(seen, "collect", lambda df: plans.append(df._jdf.queryExecution().toString()) or collect(df))
+    plans, first = [], seen.first
+    monkeypatch.setattr(seen, "first", lambda df: plans.append(df._jdf.queryExecution().toString()) or first(df))
     settings = {k: spark.conf.get(k, None) for k in ("spark.sql.sources.useV1SourceList", "spark.sql.parquet.aggregatePushdown")}
     facts = footer_facts(spark, f"{folder}/lineitem.parquet", "l_orderkey", "n", "low", "high")
     monkeypatch.undo()
