@@ -1,8 +1,8 @@
 """Measurements taken before a join or a layout is chosen.
 
-Each looks at the whole table with map-side aggregation and brings one small
-row back: rows and bytes, quantiles, or the hot keys, of which there cannot be
-more than partitions. Sketches are merged in two steps, since one task could not
+Each looks at the whole table, or for hot keys alone at a sample, with map-side
+aggregation and brings little back: rows and bytes, quantiles, or the hot keys, of
+which there cannot be more than partitions. Sketches are merged in two steps, since one task could not
 take in those of all others.
 """
 
