@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.plans.registry import query
@@ -22,7 +22,11 @@ def order_records(spark: SparkSession, folder: str) -> DataFrame:
     Lines with neither tax nor discount have no items. Nothing is grouped, so
     an array never holds more than two items, however many lines an order has.
     """
-    lines = table(spark, folder, "lineitem")
+    return _records(table(spark, folder, "lineitem"))
+
+
+def _records(lines: DataFrame, *kept: str) -> DataFrame:
+    """A record per line, after the columns ``kept`` of the line itself."""
     goods = F.struct(
         F.col("l_extendedprice").alias("amount"),
         F.col("l_partkey").cast("string").alias("item_id"),
@@ -39,6 +43,7 @@ def order_records(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise(F.array().cast(ITEMS_DDL))
     )
     return lines.select(
+        *kept,
         F.array("l_suppkey", "l_partkey").alias("contact"),
         F.col("l_suppkey").cast("string").alias("customer_id"),
         F.concat("l_orderkey", F.lit("-"), "l_linenumber").alias("order_id"),
@@ -91,18 +96,32 @@ def json_lines_scan(spark: SparkSession, folder: str) -> DataFrame:
 def json_multiline_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Documents spread over several lines, each file an array of bounded length.
 
+    Each record is a row that knows whether a document begins or ends with it, and
+    the writer puts a document's rows into its file one by one, in order. So a task
+    that writes holds records, which it can spill, and no document.
+
     Numbers are read as numbers: to turn one into text Spark finds its place in
     the document again, which takes ever longer the longer the document.
     """
     path = fresh_path(spark, "json-documents")
-    placed = order_records(spark, folder).withColumn(
-        "_file", F.shiftright(F.monotonically_increasing_id(), _FILE_BITS)
+    numbered = table(spark, folder, "lineitem").withColumn("_row", F.monotonically_increasing_id())
+    placed = numbered.withColumn("_file", F.shiftright("_row", _FILE_BITS))
+    in_file = Window.partitionBy("_file").orderBy("_row")
+    placed = placed.withColumns(
+        {
+            "_before": F.when(F.lag("_row").over(in_file).isNull(), "[").otherwise(","),
+            "_behind": F.when(F.lead("_row").over(in_file).isNull(), "]").otherwise(""),
+        }
     )
     record = F.struct("contact", "customer_id", "order_id", "order_line_items")
-    documents = placed.groupBy("_file").agg(
-        F.to_json(F.collect_list(record), {"pretty": "true"}).alias("value")
+    records = _records(placed, "_row", "_file", "_before", "_behind").select(
+        "_row",
+        "_file",
+        F.concat("_before", F.to_json(record, {"pretty": "true"}), "_behind").alias("value"),
     )
-    documents.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    # A folder per document; the sort is there already, and says so to the writer.
+    documents = records.sortWithinPartitions("_file", "_row").select("_file", "value")
+    documents.write.partitionBy("_file").option("maxRecordsPerFile", 0).text(path)
     return _flat(read_json(spark, path, RECORD_DDL, multi_line=True))
 
 

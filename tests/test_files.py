@@ -1,14 +1,17 @@
 """File sources and sinks: modes, codecs, bad records, errors."""
 
+import json
 import logging
 from datetime import datetime
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 from rows import plan, same_rows
 
 from millrace import scratch
 from millrace.operators.relations import sql_over
+from millrace.plans import nesting
 from millrace.sinks import files as sinks
 from millrace.sources.files import read_csv, read_json, table
 from millrace.sources.inline import inline_rows, steps_between
@@ -70,6 +73,23 @@ def test_multi_line_document(spark, tmp_path):
     assert row["id"] == 1 and row["items"][0]["qty"] == 2
 
 
+def test_documents_are_written_record_by_record(spark, tmp_path, monkeypatch):
+    lines = spark.range(0, 21, 1, 2).selectExpr(
+        "id AS l_orderkey", "id AS l_partkey", "id AS l_suppkey", "1 AS l_linenumber", "2.0D AS l_quantity",
+        "CAST(id AS double) AS l_extendedprice", "0.1D AS l_discount", "IF(id % 2 = 0, 0.5D, NULL) AS l_tax",
+    )
+    lines.write.parquet(str(tmp_path / "lineitem.parquet"))
+    write, plans = DataFrameWriter.text, []
+    monkeypatch.setattr(DataFrameWriter, "text", lambda self, *a: (plans.append(plan(self._df)), write(self, *a))[1])
+    monkeypatch.setattr(nesting, "fresh_path", lambda *_: str(tmp_path / "documents"))
+    monkeypatch.setattr(nesting, "_FILE_BITS", 2)
+    found = nesting.json_multiline_scan(spark, str(tmp_path))
+    same_rows(found, nesting._flat(nesting.order_records(spark, str(tmp_path))))
+    assert plans and "collect_list" not in plans[0]  # no document is held whole
+    files = [json.loads(p.read_text()) for p in (tmp_path / "documents").rglob("part-*") if p.stat().st_size]
+    assert all(1 <= len(f) <= 4 for f in files) and sum(map(len, files)) == 21
+
+
 def test_explode_drops_null_and_empty(spark):
     df = spark.createDataFrame([(1, [1, 2]), (2, []), (3, None)], "id int, items array<int>")
     assert df.select("id", F.explode("items")).count() == 2
