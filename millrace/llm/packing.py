@@ -138,8 +138,7 @@ def token_pieces(df: DataFrame, doc_id: str, text: str, vocabulary: str, window:
 
         def compute(texts, ids):
             rows = []
-            words = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts]
-            for key, joined in zip(ids, vocabulary_ids.of(words), strict=True):
+            for key, joined in zip(ids, vocabulary_ids.of_texts(texts), strict=True):
                 tokens = joined + end
                 total = len(tokens) // 4
                 for at in range(0, total, window):

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable, Sequence
+from itertools import pairwise
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from millrace.llm.batches import remembered
 
@@ -28,11 +31,32 @@ class Remembered:
 
     def of(self, texts: Sequence[Sequence[bytes]]) -> list[bytes]:
         """For each list of words, the ids of all of them, one after another."""
+        self._turn()
+        long = self._learn(set().union(*texts))
+        joined = [b"".join(map(self.young.__getitem__, words)) for words in texts]
+        self._forget(long)
+        return joined
+
+    def each(self, words: Sequence[bytes]) -> list[bytes]:
+        """The ids of each word."""
+        self._turn()
+        ids = [*map(self.young.get, words)]
+        missing = [i for i, known in enumerate(ids) if known is None]
+        long = self._learn({words[i] for i in missing})
+        for i in missing:
+            ids[i] = self.young[words[i]]
+        self._forget(long)
+        return ids
+
+    def _turn(self) -> None:
         if len(self.young) > REMEMBERED // 2:
             self.old, self.young = self.young, {}
+
+    def _learn(self, words: set[bytes]) -> list[bytes]:
+        """Makes all ``words`` young; those of them that are too long to stay."""
         young, old = self.young, self.old
         new = []
-        for word in set().union(*texts):
+        for word in words:
             if word not in young:
                 if word in old:
                     young[word] = old[word]
@@ -40,11 +64,11 @@ class Remembered:
                     new.append(word)
         if new:
             young.update(zip(new, self.make(new), strict=True))
-        joined = [b"".join(map(young.__getitem__, words)) for words in texts]
-        for word in new:
-            if len(word) > _LONGEST_REMEMBERED:
-                del young[word]
-        return joined
+        return [w for w in new if len(w) > _LONGEST_REMEMBERED]
+
+    def _forget(self, words: Sequence[bytes]) -> None:
+        for word in words:
+            del self.young[word]
 
 
 def piece_ids(path: str) -> Remembered:
@@ -88,6 +112,7 @@ _SPECIAL = b"<|"
 _JOINED = 2000
 _WORD_END = "</w>"
 PUNCTUATION = bytes(b for b in range(0x21, 0x7F) if not chr(b).isalnum())
+_ALNUM = np.array([b < 0x80 and chr(b).isalnum() for b in range(256)])
 
 
 def _stem(word: bytes) -> bytes:
@@ -106,7 +131,74 @@ def _stem(word: bytes) -> bytes:
     return (core or word).lower()
 
 
-def word_ids(path: str) -> Remembered:
+def _bytes_of(texts: pa.StringArray) -> tuple[bytes, np.ndarray]:
+    """All texts as one, and where each begins there, with the end of the last."""
+    _, offsets, data = texts.buffers()
+    at = np.frombuffer(offsets, np.int32)[texts.offset : texts.offset + len(texts) + 1]
+    return data.to_pybytes() if data else b"", at.astype(np.int64)
+
+
+class Stemmed:
+    """Ids of words, from remembered ones of their stems and of the punctuation behind."""
+
+    def __init__(self, make: Callable[[list[bytes]], list[bytes]]) -> None:
+        self.stems = Remembered(make)
+
+    def of(self, texts: Sequence[Sequence[bytes]]) -> list[bytes]:
+        """For each list of words, the ids of all of them, one after another."""
+        words = [*set().union(*texts)]
+        cut = [*map(_stem, words)]
+        ids = dict(zip(words, self.stems.each(cut), strict=True))
+        behind = {w: w[len(c) :] for c, w in zip(cut, words, strict=True) if len(c) < len(w)}
+        for word, more in zip(behind, self.stems.each([*behind.values()]), strict=True):
+            ids[word] += more
+        return [b"".join(map(ids.__getitem__, text)) for text in texts]
+
+    def of_texts(self, texts: Sequence[str | None]) -> list[bytes]:
+        """The ids of each whole text, whose words are parted at ASCII white space.
+
+        Arrow parts and numbers the words in ASCII lower case, and only different ones
+        are looked up. Texts that may hold special tokens are taken word by word.
+        """
+        if not texts:
+            return []
+        whole = pc.fill_null(pa.array(texts, pa.string()), "")
+        special = pc.match_substring(whole, _SPECIAL.decode())
+        parted = pc.ascii_split_whitespace(pc.if_else(special, "", pc.ascii_lower(whole)))
+        words = parted.flatten().dictionary_encode()  # with the empty one where space begins or ends a text
+        ids = self._of_different(words.dictionary)
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        first = np.cumsum(sizes) - sizes
+        number = words.indices.to_numpy()
+        size = sizes[number]
+        ends = np.concatenate([[0], np.cumsum(size)])
+        # Where an id is among those of the different words: by as much further as its word is.
+        taken = np.repeat(first[number] - ends[:-1], size) + np.arange(ends[-1])
+        joined = np.frombuffer(b"".join(ids), "<u4")[taken].tobytes()
+        made = [joined[a:b] for a, b in pairwise((4 * ends[parted.offsets.to_numpy()]).tolist())]
+        for i in np.flatnonzero(special.to_numpy(zero_copy_only=False)).tolist():
+            made[i] = self.of([texts[i].encode().split()])[0]
+        return made
+
+    def _of_different(self, words: pa.StringArray) -> list[bytes]:
+        """The ids of words in ASCII lower case without special tokens, cut as by ``_stem``."""
+        data, at = _bytes_of(words)
+        start, end = at[:-1], at[1:]
+        cores = pc.ascii_rtrim(words, characters=PUNCTUATION.decode())
+        cut = start + pc.binary_length(cores).to_numpy(zero_copy_only=False)
+        last = np.frombuffer(b" " + data, np.uint8)[cut]
+        sure = (cut == end) | ((cut > start) & _ALNUM[last])
+        for i in np.flatnonzero(~sure).tolist():
+            cut[i] = start[i] + len(_stem(data[start[i] : end[i]]))
+        ids = self.stems.each([data[a:b] for a, b in zip(start.tolist(), cut.tolist(), strict=True)])
+        ended = np.flatnonzero(cut < end)
+        behind = [data[a:b] for a, b in zip(cut[ended].tolist(), end[ended].tolist(), strict=True)]
+        for i, more in zip(ended.tolist(), self.stems.each(behind), strict=True):
+            ids[i] += more
+        return ids
+
+
+def word_ids(path: str) -> Stemmed:
     """Per white-space separated word, little-endian 32-bit ids of a tokenizers file.
 
     Right for vocabularies that drop white space, never join across it, ignore case
@@ -117,7 +209,7 @@ def word_ids(path: str) -> Remembered:
     return remembered(path, lambda: _load_words(path))
 
 
-def _load_words(path: str) -> Remembered:
+def _load_words(path: str) -> Stemmed:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks fill the cores
     from tokenizers import Tokenizer
 
@@ -151,11 +243,4 @@ def _load_words(path: str) -> Remembered:
             out[i] = ids
         return out
 
-    stems = Remembered(encode)
-
-    def make(words: list[bytes]) -> list[bytes]:
-        cut = [_stem(w) for w in words]
-        parts = [[c, w[len(c) :]] if len(c) < len(w) else [c] for c, w in zip(cut, words, strict=True)]
-        return stems.of(parts)
-
-    return Remembered(make)
+    return Stemmed(encode)

@@ -61,3 +61,30 @@ def test_words_together_and_alone(words, tokenizer):
     got = words.of([[w.encode()] for w in made])
     for word, ids in zip(made, got, strict=True):
         assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(word, add_special_tokens=False).ids
+
+
+def whole_ids(words, texts):
+    return [np.frombuffer(ids, "<u4").tolist() for ids in words.of_texts(texts)]
+
+
+def test_whole_texts_are_parted_as_bytes_are(tokenizer, words):
+    texts = [
+        None, "", " \x0b\x0c\t", "\nOne, two,  one!\r", "a\x1cb\x85c\u3000d", "İ. MİLLİ, É!! é!!", "$$$ x$$$ $x", "x\x01,",
+        "A<|endoftext|>B <|x|> <|", "<|ENDOFTEXT|>,", "中文。句子! ²,", "it's IT'S 's,", "w" * 90 + ",", " end ",
+    ]
+    expected = [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert whole_ids(words, texts) == expected
+    assert whole_ids(words, texts[:3]) == [[], [], []] and words.of_texts([]) == []
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(PIECES, max_size=6).map("".join), max_size=5))
+def test_random_whole_texts(tokenizer, words, texts):
+    assert whole_ids(words, texts) == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_words_that_differ_in_case_and_punctuation_are_encoded_once():
+    asked = []
+    words = vocabulary.Stemmed(lambda new: (asked.extend(new), [b"%4d" % len(w) for w in new])[1])
+    assert words.of_texts(["One one, ONE!", "one."]) == [b"   3   3   1   3   1", b"   3   1"]
+    assert sorted(asked) == [b"!", b",", b".", b"one"]
