@@ -68,7 +68,7 @@ class Node:
         self.children: list[Node] = []
         self.linked = 0
         self.topics = 0
-        for name in _NAMED & attributes.keys():
+        for name in _NAMED.intersection(attributes):
             for word in _WORD.findall(attributes[name].lower()):
                 topic = _TOPIC_OF.get(word)
                 if topic is not None:
